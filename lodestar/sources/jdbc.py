@@ -23,6 +23,8 @@ def read_jdbc(
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
+    if partition_column is not None and None in (lower_bound, upper_bound, num_partitions):
+        raise ValueError("partitioned JDBC reads need bounds and num_partitions")
     reader = (
         spark.read.format("jdbc")
         .option("url", url)
@@ -32,8 +34,6 @@ def read_jdbc(
     for key, value in (properties or {}).items():
         reader = reader.option(key, value)
     if partition_column is not None:
-        if lower_bound is None or upper_bound is None or num_partitions is None:
-            raise ValueError("partitioned JDBC reads need bounds and num_partitions")
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(lower_bound))
