@@ -35,8 +35,19 @@ def random_forest(train: DataFrame, features: str = "features", label: str = "la
 
 
 def kmeans(df: DataFrame, k: int = 4, seed: int = 1, features: str = "features", **params):
-    """K-means clustering (M12), k=4 and seed=1 as in the reference."""
-    return KMeans(k=k, seed=seed, featuresCol=features, **params).fit(df)
+    """K-means clustering (M12), k=4 and seed=1 as in the reference.
+
+    The feature column is persisted (memory, spilling to disk) for the
+    iterations and released afterwards; a lost block is recomputed from
+    lineage.
+    """
+    from pyspark import StorageLevel
+
+    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=k, seed=seed, featuresCol=features, **params).fit(data)
+    finally:
+        data.unpersist()
 
 
 def als(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",

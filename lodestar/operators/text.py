@@ -29,13 +29,17 @@ def tokens(text: str | Column) -> Column:
 
 def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
     """(word, n) over all lines, words split on ``sep`` (P16 + A2)."""
-    words = df.select(F.explode(split_words(text, sep)).alias("word"))
+    from lodestar.operators.partitioning import spread
+
+    words = spread(df).select(F.explode(split_words(text, sep)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_frequency(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, token, tf): occurrences of each token in each document (M6, exact form)."""
-    exploded = docs.select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
+    from lodestar.operators.partitioning import spread
+
+    exploded = spread(docs, doc_id).select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
     return exploded.groupBy(doc_id, *extra, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -56,12 +60,30 @@ def idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
     )
 
 
-def tf_idf(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, [extra], token, tf, idf, tf_idf) over a corpus."""
+def tf_idf(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = (),
+           materialize: bool = True) -> DataFrame:
+    """(doc_id, [extra], token, tf, idf, tf_idf) over a corpus.
+
+    Term frequencies are computed once; with ``materialize`` they and the
+    vocabulary weights are written as tables to the shared folder
+    (tokenising is the expensive step and its result feeds both the IDF
+    aggregation and the join).  The join of
+    frequencies with weights splits hot tokens off into a bounded broadcast
+    (see ``split_hot_join``).
+    """
+    from lodestar.operators.partitioning import split_hot_join
+    from lodestar.session import materialize as materialize_table
+
     tf = term_frequency(docs, doc_id, text, extra)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    weights = idf(tf, n_docs)
-    return tf.join(weights.select("token", "idf"), "token").select(
+    weights = idf(tf, n_docs).select("token", "df", "idf")
+    total = None
+    if materialize:
+        tf = materialize_table(tf, "tf")
+        weights = materialize_table(idf(tf, n_docs).select("token", "df", "idf"), "idf")
+        total = tf.count()
+    joined = split_hot_join(tf, weights, "token", "df", total_rows=total)
+    return joined.select(
         doc_id, *extra, "token", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf")
     )
 

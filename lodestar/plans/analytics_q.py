@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import split_words
 from lodestar.operators import metrics, stats, text
+from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
 from lodestar.sources.tables import load
 
@@ -121,7 +122,7 @@ FROM (SELECT doc_id, {_TOKENS_SQL.format(t='text')} AS toks FROM documents)
 """,
 )
 def tokenize(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    docs = spread(load(spark, sf_dir, "documents", "doc_id", "text"))
     toks = text.tokens("text")
     return docs.select("doc_id", F.size(toks).alias("n_tokens"), F.size(F.array_distinct(toks)).alias("n_distinct"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import NUMERIC_PATTERN, is_numeric, split_words
 from lodestar.operators import cleanse
+from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
 from lodestar.session import scratch_path
 from lodestar.sources import files
@@ -161,7 +162,7 @@ FROM w
 """,
 )
 def is_numeric_flag(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    docs = spread(load(spark, sf_dir, "documents", "doc_id", "text"))
     words = split_words("text")
     return docs.select(
         "doc_id",
@@ -181,7 +182,7 @@ FROM w WHERE regexp_full_match(word, '{NUMERIC_PATTERN[1:-1]}')
     note="mean of the numeric words of all documents; the sum is exact (decimal)",
 )
 def mean_skip_invalid(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents", "text")
+    docs = spread(load(spark, sf_dir, "documents", "text"))
     words = docs.select(F.explode(F.split("text", " ")).alias("word"))
     # Exact decimal sum, then one division: the result does not depend on
     # the order in which partitions are added up.

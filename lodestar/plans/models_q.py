@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import features, metrics, models, stats
 from lodestar.operators.cleanse import deterministic_split
+from lodestar.operators.partitioning import spread
 from lodestar.operators.relational import group_count
 from lodestar.plans.registry import query
 from lodestar.sources.tables import load
@@ -47,7 +48,7 @@ _LR_FEATURES = ["l_quantity", "l_discount"]
 
 
 def _lr_split(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", *_LR_FEATURES)
+    li = spread(load(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", *_LR_FEATURES))
     li = li.withColumn("split", deterministic_split(F.col("l_orderkey"), LR_TRAIN_PERCENT))
     data = features.assemble(li, _LR_FEATURES).withColumnRenamed("l_extendedprice", "label")
     return data.filter("split = 'train'"), data.filter("split = 'test'")
@@ -106,7 +107,7 @@ _KMEANS_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query("kmeans_sizes", note="rows-only: cluster ids depend on the seed and partitioning")
 def kmeans_sizes(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *_KMEANS_COLS)
+    li = spread(load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *_KMEANS_COLS))
     z = stats.standardize(li, _KMEANS_COLS, keep=("l_orderkey", "l_linenumber"))
     vec = features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS])
     model = models.kmeans(vec, k=4, seed=1)

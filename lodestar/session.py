@@ -16,11 +16,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings we want for every job: runtime re-planning, skew splitting,
-# UTC wall clock (timestamps in the test tables are zone-less).
+# evidence-based broadcasts, UTC wall clock (the test tables' timestamps
+# are zone-less).
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on evidence: no static broadcast from file-size
+    # estimates; AQE may still broadcast a side whose *measured* shuffle
+    # output is under 32 MB, and explicit bounded_broadcast hints apply.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -84,3 +90,12 @@ def ensure_utc(spark: SparkSession) -> None:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: lineage is cut (a lost executor recomputes from the table,
+    not from the sources) and later branches reuse the stored result."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
