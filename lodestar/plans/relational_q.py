@@ -243,3 +243,22 @@ def row_ids(spark, sf_dir):
     from lodestar.operators.ordering import dense_row_ids
 
     return dense_row_ids(load(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey")
+
+
+@query(
+    "text_lines_upper",
+    sql=r"""
+SELECT upper(replace(line, 'ß', 'SS')) AS line
+FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents)
+""",
+    note="S1 + P17: documents exported as a text folder, read back one row per line",
+)
+def text_lines_upper(spark, sf_dir):
+    from lodestar.session import scratch_path
+    from lodestar.sources import files
+
+    docs = load(spark, sf_dir, "documents", "text")
+    path = scratch_path(spark, "documents-text")
+    docs.write.mode("overwrite").text(path)
+    lines = files.read_text_lines(spark, path)
+    return lines.select(F.upper("value").alias("line"))

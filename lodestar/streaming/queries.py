@@ -60,6 +60,12 @@ def flatten_windows(df: DataFrame) -> DataFrame:
 
 def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s: float,
          trigger_seconds: float | None):
+    """Start the query and return once all available input is processed.
+
+    With ``trigger_seconds`` the query runs on a processing-time trigger (the
+    reference's 3 s batches) until the input present now is consumed, then
+    stops; without it, ``availableNow`` processes everything and ends.
+    """
     writer = stream_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint) \
         .foreachBatch(writer_fn)
     if trigger_seconds is None:
@@ -68,11 +74,14 @@ def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s:
         writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
     query = writer.start()
     try:
-        finished = query.awaitTermination(timeout_s)
+        if trigger_seconds is None:
+            finished = query.awaitTermination(timeout_s)
+            if not finished:
+                raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
+        else:
+            query.processAllAvailable()
         if query.exception() is not None:
             raise query.exception()
-        if not finished:
-            raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
     finally:
         if query.isActive:
             query.stop()

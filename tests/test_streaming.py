@@ -43,3 +43,24 @@ def test_window_counts_late_row_and_empty_batch(spark):
     agg2 = sq.sliding_counts(file_stream(spark, empty, events.schema), "ts", "event_type", "15 minutes", "3 minutes")
     sink2 = scratch_path(spark, "t-empty-sink")
     sq.run_aggregate(agg2, sink2, mode="complete")
+
+
+def test_processing_time_trigger_start_stop(spark):
+    lines = spark.createDataFrame([(i, "a b a") for i in range(12)], "id int, text string")
+    path = write_replay(lines, "id", 2)
+    stream = file_stream(spark, path, lines.schema)
+    sink = scratch_path(spark, "t-trigger")
+    sq.run_aggregate(sq.count_words(sq.words(stream, "text")), sink, mode="update", trigger_seconds=1)
+    got = dict((r["word"], r["n"]) for r in sq.read_latest(spark, sink, ["word"], ["n"]).collect())
+    assert got == {"a": 24, "b": 12}
+    assert not any(q.isActive for q in spark.streams.active)
+
+
+def test_stream_equals_batch_on_same_rows(spark):
+    lines = spark.createDataFrame([(i, f"w{i % 5} w{i % 7}  x") for i in range(200)], "id int, text string")
+    path = write_replay(lines, "id", 4)
+    sink = scratch_path(spark, "t-eq")
+    sq.run_per_batch(file_stream(spark, path, lines.schema), lambda b: sq.count_words(sq.words(b, "text")), sink)
+    streamed = spark.read.parquet(sink).groupBy("word").agg(F.sum("n").alias("n"))
+    batch = sq.count_words(sq.words(lines, "text"))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))

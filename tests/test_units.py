@@ -258,3 +258,30 @@ def test_csv_write_read_round_trip(spark):
     path = scratch_path(spark, "t-csv")
     files.write_csv(df, path)
     assert [tuple(r) for r in files.read_csv(spark, path, schema=df.schema).collect()] == [(1, "x", 2.5)]
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from lodestar.operators.partitioning import spread
+
+    wide = spark.range(0, 100, numPartitions=64)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread(narrow, "id").rdd.getNumPartitions() > 1
+
+
+def test_split_hot_join_complete(spark):
+    from lodestar.operators.partitioning import split_hot_join
+
+    big = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(50)],
+                                "token string, v int")
+    small = big.groupBy("token").count().withColumnRenamed("count", "df").withColumn("w", F.lit(1))
+    out = split_hot_join(big, small, "token", "df", max_hot_keys=10)
+    assert out.count() == big.count()
+    assert out.filter("token = 'hot'").count() == 300
+
+
+def test_first_row_o3(spark):
+    from lodestar.operators.ordering import preview
+
+    df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
+    assert preview(df, 1, "k").first()["k"] == 1
