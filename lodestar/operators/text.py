@@ -120,3 +120,66 @@ def naive_bayes_priors(labelled: DataFrame, label: str, smoothing: float = 1.0)
     return with_scalars(counts, totals).select(
         label, F.log((F.col("_n") + a) / (F.col("_total") + F.col("_k") * a)).alias("log_prior")
     )
+
+
+def naive_bayes_model(train: DataFrame, doc_id: str, text: str, label: str, classes: list,
+                      smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Train multinomial Naive Bayes on TF-IDF features as tables (M8, M9).
+
+    Returns ``(vocab, priors)``: ``vocab`` has one row per training token with
+    its ``idf`` and, per class k, ``delta_k`` = log P(token | k) minus the
+    class's unseen-token log-probability; ``priors`` has per class its
+    ``log_prior`` and ``log_prob_unseen``.  This is exactly the model Spark
+    ML's CountVectorizer -> IDF -> NaiveBayes pipeline fits, kept as tables
+    instead of a driver-side matrix.  ``classes`` is the (small) list of
+    label values.
+    """
+    weighted = tf_idf(train, doc_id, text, extra=(label,))
+    params = naive_bayes_params(weighted, label, smoothing=smoothing)
+    idf_w = weighted.select("token", "idf").dropDuplicates(["token"])
+    deltas = (
+        params.withColumn("_d", F.col("log_prob") - F.col("log_prob_unseen"))
+        .groupBy("token").pivot(label, classes).agg(F.first("_d"))
+    )
+    vocab = idf_w.join(deltas, "token").select(
+        "token", "idf", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"delta_{i}") for i, c in enumerate(classes)]
+    )
+    unseen = params.groupBy(label).agg(F.first("log_prob_unseen").alias("log_prob_unseen"))
+    priors = naive_bayes_priors(train, label, smoothing).join(unseen, label)
+    return vocab, priors
+
+
+def naive_bayes_predict(docs: DataFrame, doc_id: str, text: str, vocab: DataFrame, priors: DataFrame,
+                        label: str, classes: list) -> DataFrame:
+    """(doc_id, prediction): argmax over classes of
+    log_prior + Σ_j x_j log P(j | class), x = tf × idf over training tokens.
+
+    Rewritten as log_prior + unseen × Σ_j x_j + Σ_j x_j delta_j, the score
+    needs one join of the document's term frequencies with the vocabulary
+    table and one per-document aggregation with K sums.  Ties go to the
+    first class, as in Spark ML.
+    """
+    from lodestar.operators.partitioning import split_hot_join
+
+    tf = term_frequency(docs, doc_id, text)
+    tf_counts = document_frequency(tf)
+    model = vocab.join(tf_counts, "token")
+    x = split_hot_join(tf, model, "token", "df")
+    k = len(classes)
+    sums = x.groupBy(doc_id).agg(
+        F.sum(F.col("tf") * F.col("idf")).alias("_x"),
+        *[F.sum(F.col("tf") * F.col("idf") * F.col(f"delta_{i}")).alias(f"_c{i}") for i in range(k)],
+    )
+    pri = {r[label]: (r["log_prior"], r["log_prob_unseen"]) for r in priors.collect()}  # K rows
+    scores = [
+        F.lit(pri[c][0]) + F.lit(pri[c][1]) * F.col("_x") + F.col(f"_c{i}") for i, c in enumerate(classes)
+    ]
+    # documents without any training token still get a prediction (from priors)
+    all_docs = docs.select(doc_id).join(sums, doc_id, "left").fillna(0.0)
+    best = F.lit(classes[0])
+    best_score = scores[0]
+    for i in range(1, k):
+        better = scores[i] > best_score
+        best = F.when(better, F.lit(classes[i])).otherwise(best)
+        best_score = F.greatest(best_score, scores[i])
+    return all_docs.select(doc_id, best.alias("prediction"))

@@ -198,3 +198,55 @@ SELECT label, round(ln((n + 1.0) / ((SELECT sum(n) FROM c) + (SELECT count(*) FR
 def naive_bayes_priors(spark, sf_dir):
     pri = text.naive_bayes_priors(_labelled_docs(spark, sf_dir), "label")
     return pri.select("label", F.round("log_prior", 6).alias("log_prior"))
+
+
+NB_TRAIN_PERCENT = 70
+NB_CLASSES = [0, 1]
+
+
+def _nb_sql() -> str:
+    split = f"(((d.doc_id % 100003) * 7919 % 100003) % 100 < {NB_TRAIN_PERCENT})"
+    toks = _TOKENS_SQL.format(t="text")
+    return f"""
+WITH ld AS (SELECT d.doc_id, l.quality AS label, d.text, {split} AS is_train
+            FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+     tf AS (SELECT doc_id, label, is_train, token, count(*) AS tf
+            FROM (SELECT doc_id, label, is_train, unnest({toks}) AS token FROM ld)
+            GROUP BY ALL),
+     n AS (SELECT count(*) AS n_docs FROM ld WHERE is_train),
+     dfq AS (SELECT token, count(*) AS df FROM tf WHERE is_train GROUP BY token),
+     w AS (SELECT token, ln((n_docs + 1.0) / (df + 1.0)) AS idf FROM dfq, n),
+     f AS (SELECT tf.label, tf.token, sum(tf.tf * w.idf) AS f FROM tf JOIN w ON tf.token = w.token
+           WHERE tf.is_train GROUP BY tf.label, tf.token),
+     fc AS (SELECT label, sum(f) AS fc FROM f GROUP BY label),
+     v AS (SELECT count(*) AS v FROM w),
+     theta AS (SELECT f.label, f.token, ln((f.f + 1.0) / (fc.fc + v.v)) AS lp FROM f JOIN fc ON f.label = fc.label, v),
+     unseen AS (SELECT fc.label, ln(1.0 / (fc.fc + v.v)) AS lpu FROM fc, v),
+     cnt AS (SELECT label, count(*) AS c FROM ld WHERE is_train GROUP BY label),
+     pri AS (SELECT label, ln((c + 1.0) / ((SELECT sum(c) FROM cnt) + (SELECT count(*) FROM cnt))) AS lpr FROM cnt),
+     test AS (SELECT doc_id, label FROM ld WHERE NOT is_train),
+     x AS (SELECT tf.doc_id, tf.token, tf.tf * w.idf AS x FROM tf JOIN w ON tf.token = w.token WHERE NOT tf.is_train),
+     cls AS (SELECT pri.label AS c, pri.lpr, unseen.lpu FROM pri JOIN unseen ON pri.label = unseen.label),
+     xs AS (SELECT x.doc_id, cls.c, sum(x.x * coalesce(th.lp, cls.lpu)) AS v
+            FROM x CROSS JOIN cls LEFT JOIN theta th ON th.token = x.token AND th.label = cls.c
+            GROUP BY x.doc_id, cls.c),
+     sc AS (SELECT t.doc_id, cls.c, cls.lpr + coalesce(xs.v, 0.0) AS s
+            FROM test t CROSS JOIN cls LEFT JOIN xs ON xs.doc_id = t.doc_id AND xs.c = cls.c)
+SELECT t.doc_id, t.label, first(sc.c ORDER BY sc.s DESC, sc.c) AS prediction
+FROM test t JOIN sc ON t.doc_id = sc.doc_id
+GROUP BY t.doc_id, t.label
+"""
+
+
+@query("naive_bayes_predict", sql=_nb_sql(),
+       note="M8/M9 end to end: TF-IDF + Naive Bayes trained and applied as joins and aggregations")
+def naive_bayes_predict(spark, sf_dir):
+    from lodestar.operators.cleanse import deterministic_split
+
+    data = _labelled_docs(spark, sf_dir).withColumn(
+        "split", deterministic_split(F.col("doc_id"), NB_TRAIN_PERCENT))
+    train = data.filter("split = 'train'")
+    test = data.filter("split = 'test'")
+    vocab, priors = text.naive_bayes_model(train, "doc_id", "text", "label", NB_CLASSES)
+    pred = text.naive_bayes_predict(test, "doc_id", "text", vocab, priors, "label", NB_CLASSES)
+    return test.select("doc_id", "label").join(pred, "doc_id")

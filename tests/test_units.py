@@ -285,3 +285,30 @@ def test_first_row_o3(spark):
 
     df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
     assert preview(df, 1, "k").first()["k"] == 1
+
+
+def test_naive_bayes_predict_matches_spark_ml_pipeline(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
+
+    from conftest import SMALL
+    from lodestar.sources.tables import load
+
+    docs = load(spark, SMALL, "documents", "doc_id", "text")
+    labels = load(spark, SMALL, "labels", "doc_id", "quality")
+    data = docs.join(labels, "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
+    data = data.withColumn("split", cleanse.deterministic_split(F.col("doc_id"), 70))
+    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
+    vocab, priors = text.naive_bayes_model(train, "doc_id", "text", "label", [0, 1])
+    ours = dict(text.naive_bayes_predict(test, "doc_id", "text", vocab, priors, "label", [0, 1])
+                .select("doc_id", "prediction").collect())
+    pipe = Pipeline(stages=[
+        RegexTokenizer(inputCol="text", outputCol="words", pattern=text.WHITESPACE),
+        CountVectorizer(inputCol="words", outputCol="tf", vocabSize=1 << 22),
+        IDF(inputCol="tf", outputCol="features"),
+        NaiveBayes(labelCol="y"),
+    ])
+    model = pipe.fit(train.withColumn("y", F.col("label").cast("double")))
+    theirs = {r["doc_id"]: int(r["prediction"]) for r in model.transform(test).collect()}
+    assert ours == theirs and len(ours) > 0
