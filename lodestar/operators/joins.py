@@ -48,9 +48,11 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (J3: the reference's broadcast value).
+    """Attach the columns of a one-row aggregate to every row (J3: the
+    reference's broadcast value).
 
-    A one-row table has a proven size, so it is always broadcast; the cross
-    join with a single row is a projection, not a pair explosion.
+    Each column becomes a scalar subquery (``DataFrame.scalar()``): Spark
+    evaluates the aggregate once (sibling subqueries over the same aggregate
+    are merged) and inlines the value, so there is no join at all.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
