@@ -88,28 +88,50 @@ def tf_idf(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = (),
     )
 
 
-def naive_bayes_params(weighted: DataFrame, label: str, value: str = "tf_idf", smoothing: float = 1.0) -> DataFrame:
-    """Multinomial Naive Bayes parameters as a grouped aggregation (M9).
+def naive_bayes_fit(docs: DataFrame, doc_id: str, text: str, label: str, smoothing: float = 1.0):
+    """Train multinomial Naive Bayes on TF-IDF features by aggregation (M7, M9).
 
-    With F(c, j) the summed feature value of token j over documents of class
+    With F(c, j) the summed TF-IDF value of token j over documents of class
     c, F(c) its total over tokens and V the vocabulary size, Spark ML's
-    ``NaiveBayes`` stores log((F(c, j) + a) / (F(c) + a V)).  Training is
-    exactly that aggregation, so it is run here as one: rows are produced for
-    observed (class, token) pairs; an unobserved pair has
-    log(a / (F(c) + a V)), given by the ``log_prob_unseen`` column.
-    Log priors log((n_c + a) / (n + K a)) come from ``naive_bayes_priors``.
+    ``NaiveBayes`` stores log((F(c, j) + a) / (F(c) + a V)).  Because IDF
+    depends on the token only, F(c, j) = idf(j) * occurrences of j in class
+    c, so training needs one aggregation per (class, token) - occurrences and
+    number of documents - and a join with the vocabulary-sized IDF table; the
+    per-document rows are never joined.  That join has at most K rows per
+    token, so no token can skew it.
+
+    Returns ``(params, weights)``: ``params`` has a row per observed
+    (class, token) with ``log_prob`` and the class's ``log_prob_unseen``
+    (the value of every unobserved pair); ``weights`` is (token, df, idf).
     """
-    per_pair = weighted.groupBy(label, "token").agg(F.sum(value).alias("_f"))
-    per_class = per_pair.groupBy(label).agg(F.sum("_f").alias("_fc"))  # one row per class
-    vocab = per_pair.agg(F.countDistinct("token").alias("_v"))
-    classes = with_scalars(per_class, vocab)
+    tf = term_frequency(docs, doc_id, text, extra=(label,))
+    return naive_bayes_fit_tf(tf, docs.agg(F.count(F.lit(1))).scalar(), label, smoothing)
+
+
+def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0):
+    """``naive_bayes_fit`` from term frequencies (doc, label, token, tf) and
+    the number of training documents (an int or a scalar column)."""
+    from lodestar.session import materialize
+
+    pairs = materialize(
+        tf.groupBy(label, "token").agg(F.sum("tf").alias("_occ"), F.count(F.lit(1)).alias("_nd")),
+        "nb-pairs",
+    )
+    n_docs = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
+    weights = pairs.groupBy("token").agg(F.sum("_nd").alias("df")).select(
+        "token", "df", F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0))).alias("idf")
+    )
+    f = pairs.join(weights, "token").select(label, "token", (F.col("_occ") * F.col("idf")).alias("_f"))
+    vocab_size = weights.agg(F.count(F.lit(1))).scalar()
+    per_class = f.groupBy(label).agg(F.sum("_f").alias("_fc"))  # one row per class
     a = F.lit(float(smoothing))
-    denom = F.col("_fc") + a * F.col("_v")
-    return per_pair.join(bounded_broadcast(classes, 100_000), label).select(
+    denom = F.col("_fc") + a * vocab_size
+    params = f.join(bounded_broadcast(per_class, 100_000), label).select(
         label, "token",
         F.log((F.col("_f") + a) / denom).alias("log_prob"),
         F.log(a / denom).alias("log_prob_unseen"),
     )
+    return params, weights
 
 
 def naive_bayes_priors(labelled: DataFrame, label: str, smoothing: float = 1.0) -> DataFrame:
@@ -122,49 +144,55 @@ def naive_bayes_priors(labelled: DataFrame, label: str, smoothing: float = 1.0)
     )
 
 
-def naive_bayes_model(train: DataFrame, doc_id: str, text: str, label: str, classes: list,
+def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, classes: list,
                       smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """Train multinomial Naive Bayes on TF-IDF features as tables (M8, M9).
 
-    Returns ``(vocab, priors)``: ``vocab`` has one row per training token with
-    its ``idf`` and, per class k, ``delta_k`` = log P(token | k) minus the
-    class's unseen-token log-probability; ``priors`` has per class its
-    ``log_prior`` and ``log_prob_unseen``.  This is exactly the model Spark
-    ML's CountVectorizer -> IDF -> NaiveBayes pipeline fits, kept as tables
-    instead of a driver-side matrix.  ``classes`` is the (small) list of
-    label values.
+    ``train_tf`` is (doc, label, token, tf) of the training documents and
+    ``train_docs`` one row per training document with its label (ids only,
+    so counting it never touches the text).  Returns ``(vocab, priors)``:
+    ``vocab`` has one row per training token with its ``idf`` and, per class
+    k, ``delta_k`` = log P(token | k) minus the class's unseen-token
+    log-probability; ``priors`` has per class its ``log_prior`` and
+    ``log_prob_unseen``.  This is the model Spark ML's CountVectorizer ->
+    IDF -> NaiveBayes pipeline fits, kept as tables instead of a driver-side
+    matrix.  ``classes`` is the (small) list of label values.
     """
-    weighted = tf_idf(train, doc_id, text, extra=(label,))
-    params = naive_bayes_params(weighted, label, smoothing=smoothing)
-    idf_w = weighted.select("token", "idf").dropDuplicates(["token"])
+    from lodestar.session import materialize
+
+    n_docs = train_docs.agg(F.count(F.lit(1))).scalar()
+    params, weights = naive_bayes_fit_tf(train_tf, n_docs, label, smoothing)
     deltas = (
         params.withColumn("_d", F.col("log_prob") - F.col("log_prob_unseen"))
         .groupBy("token").pivot(label, classes).agg(F.first("_d"))
     )
-    vocab = idf_w.join(deltas, "token").select(
+    vocab = weights.select("token", "idf").join(deltas, "token").select(
         "token", "idf", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"delta_{i}") for i, c in enumerate(classes)]
     )
     unseen = params.groupBy(label).agg(F.first("log_prob_unseen").alias("log_prob_unseen"))
-    priors = naive_bayes_priors(train, label, smoothing).join(unseen, label)
-    return vocab, priors
+    priors = naive_bayes_priors(train_docs, label, smoothing).join(unseen, label)
+    # The fitted model is two tables (vocabulary-sized and K rows); store them
+    # once so scoring does not re-run training.
+    return materialize(vocab, "nb-vocab"), materialize(priors, "nb-priors")
 
 
-def naive_bayes_predict(docs: DataFrame, doc_id: str, text: str, vocab: DataFrame, priors: DataFrame,
-                        label: str, classes: list) -> DataFrame:
+def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, vocab: DataFrame,
+                        priors: DataFrame, label: str, classes: list) -> DataFrame:
     """(doc_id, prediction): argmax over classes of
     log_prior + Σ_j x_j log P(j | class), x = tf × idf over training tokens.
 
     Rewritten as log_prior + unseen × Σ_j x_j + Σ_j x_j delta_j, the score
-    needs one join of the document's term frequencies with the vocabulary
-    table and one per-document aggregation with K sums.  Ties go to the
-    first class, as in Spark ML.
+    needs one join of the documents' term frequencies with the vocabulary
+    table (hot tokens split off, see ``split_hot_join``) and one
+    per-document aggregation with K sums.  Ties go to the first class, as in
+    Spark ML.  ``test_docs`` lists every document to score, so one without
+    any training token is still scored (by its prior).
     """
     from lodestar.operators.partitioning import split_hot_join
 
-    tf = term_frequency(docs, doc_id, text)
-    tf_counts = document_frequency(tf)
-    model = vocab.join(tf_counts, "token")
-    x = split_hot_join(tf, model, "token", "df")
+    tf = test_tf.select(doc_id, "token", "tf")
+    model = vocab.join(document_frequency(tf), "token")
+    x = split_hot_join(tf, model, "token", "df", total_rows=tf.count())
     k = len(classes)
     sums = x.groupBy(doc_id).agg(
         F.sum(F.col("tf") * F.col("idf")).alias("_x"),
@@ -174,8 +202,7 @@ def naive_bayes_predict(docs: DataFrame, doc_id: str, text: str, vocab: DataFram
     scores = [
         F.lit(pri[c][0]) + F.lit(pri[c][1]) * F.col("_x") + F.col(f"_c{i}") for i, c in enumerate(classes)
     ]
-    # documents without any training token still get a prediction (from priors)
-    all_docs = docs.select(doc_id).join(sums, doc_id, "left").fillna(0.0)
+    all_docs = test_docs.select(doc_id).join(sums, doc_id, "left").fillna(0.0)
     best = F.lit(classes[0])
     best_score = scores[0]
     for i in range(1, k):

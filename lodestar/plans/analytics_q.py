@@ -182,8 +182,7 @@ FROM f JOIN fc ON f.label = fc.label, v
 """,
 )
 def naive_bayes_params(spark, sf_dir):
-    weighted = text.tf_idf(_labelled_docs(spark, sf_dir), "doc_id", "text", extra=("label",))
-    params = text.naive_bayes_params(weighted, "label")
+    params, _ = text.naive_bayes_fit(_labelled_docs(spark, sf_dir), "doc_id", "text", "label")
     return params.select("label", "token", F.round("log_prob", 6).alias("log_prob"),
                          F.round("log_prob_unseen", 6).alias("log_prob_unseen"))
 
@@ -243,10 +242,15 @@ GROUP BY t.doc_id, t.label
 def naive_bayes_predict(spark, sf_dir):
     from lodestar.operators.cleanse import deterministic_split
 
+    from lodestar.session import materialize
+
     data = _labelled_docs(spark, sf_dir).withColumn(
         "split", deterministic_split(F.col("doc_id"), NB_TRAIN_PERCENT))
-    train = data.filter("split = 'train'")
-    test = data.filter("split = 'test'")
-    vocab, priors = text.naive_bayes_model(train, "doc_id", "text", "label", NB_CLASSES)
-    pred = text.naive_bayes_predict(test, "doc_id", "text", vocab, priors, "label", NB_CLASSES)
-    return test.select("doc_id", "label").join(pred, "doc_id")
+    # Tokenise the labelled documents once; train and test are filters on it.
+    tf = materialize(text.term_frequency(data, "doc_id", "text", extra=("label", "split")), "nb-tf")
+    ids = data.select("doc_id", "label", "split")
+    train_docs, test_docs = ids.filter("split = 'train'"), ids.filter("split = 'test'")
+    vocab, priors = text.naive_bayes_model(tf.filter("split = 'train'"), train_docs, "label", NB_CLASSES)
+    pred = text.naive_bayes_predict(tf.filter("split = 'test'"), test_docs, "doc_id", vocab, priors,
+                                    "label", NB_CLASSES)
+    return test_docs.select("doc_id", "label").join(pred, "doc_id")

@@ -220,8 +220,8 @@ def test_naive_bayes_params_match_spark_ml(spark):
         [(1, 0, "a b b c"), (2, 0, "a a d"), (3, 1, "c c e"), (4, 1, "b e e f")],
         "doc_id long, label int, text string",
     )
-    weighted = text.tf_idf(docs, "doc_id", "text", extra=("label",))
-    ours = {(r["label"], r["token"]): r["log_prob"] for r in text.naive_bayes_params(weighted, "label").collect()}
+    params, _ = text.naive_bayes_fit(docs, "doc_id", "text", "label")
+    ours = {(r["label"], r["token"]): r["log_prob"] for r in params.collect()}
     tok = RegexTokenizer(inputCol="text", outputCol="words", pattern=text.WHITESPACE).transform(docs)
     cv = CountVectorizer(inputCol="words", outputCol="tf").fit(tok)
     tfd = cv.transform(tok)
@@ -300,8 +300,10 @@ def test_naive_bayes_predict_matches_spark_ml_pipeline(spark):
     data = docs.join(labels, "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
     data = data.withColumn("split", cleanse.deterministic_split(F.col("doc_id"), 70))
     train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    vocab, priors = text.naive_bayes_model(train, "doc_id", "text", "label", [0, 1])
-    ours = dict(text.naive_bayes_predict(test, "doc_id", "text", vocab, priors, "label", [0, 1])
+    vocab, priors = text.naive_bayes_model(text.term_frequency(train, "doc_id", "text", extra=("label",)),
+                                           train.select("doc_id", "label"), "label", [0, 1])
+    ours = dict(text.naive_bayes_predict(text.term_frequency(test, "doc_id", "text"), test, "doc_id",
+                                         vocab, priors, "label", [0, 1])
                 .select("doc_id", "prediction").collect())
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="words", pattern=text.WHITESPACE),
