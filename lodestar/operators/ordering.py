@@ -24,7 +24,8 @@ def top_k(df: DataFrame, k: int, by: str, *tie_breakers: str, descending: bool =
     return df.orderBy(first, *[F.col(c).asc() for c in tie_breakers]).limit(k)
 
 
-def dense_row_ids(df: DataFrame, key: str, id_col: str = "row_id", start: int = 1) -> DataFrame:
+def dense_row_ids(df: DataFrame, key: str, *tie_breakers: str, id_col: str = "row_id",
+                  start: int = 1) -> DataFrame:
     """Consecutive ids in ``key`` order without funnelling rows through one task.
 
     A global ``row_number()`` window would move every row into a single
@@ -34,15 +35,22 @@ def dense_row_ids(df: DataFrame, key: str, id_col: str = "row_id", start: int =
     below, count rows per partition (one tiny row per partition), turn the
     counts into offsets, and add each row's offset.  The offsets table has one
     row per partition, so its broadcast is bounded by the partition count.
+
+    The sort key ends with a unique per-row value, so the range bounds can
+    cut inside a run of equal keys: a key value held by a third of the rows
+    is spread over several partitions instead of landing in one.  Rows with
+    equal ``key`` and ``tie_breakers`` get ids in input order.
     """
+    from lodestar.session import checkpoint_dir
+
+    order = [F.col(key).asc(), *[F.col(c).asc() for c in tie_breakers], F.col("_seq").asc()]
     tagged = (
-        df.orderBy(F.col(key).asc())
+        df.withColumn("_seq", F.monotonically_increasing_id())
+        .orderBy(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_mid"), 33))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    from lodestar.session import checkpoint_dir
-
     checkpoint_dir(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -52,7 +60,4 @@ def dense_row_ids(df: DataFrame, key: str, id_col: str = "row_id", start: int =
         .alias("_off"),
     ).fillna(0, subset=["_off"])
     out = tagged.join(bounded_broadcast(offsets, 1_000_000), "_part")
-    return out.select(
-        *[c for c in df.columns],
-        (F.col("_off") + F.col("_pos") + F.lit(start)).alias(id_col),
-    )
+    return out.select(*df.columns, (F.col("_off") + F.col("_pos") + F.lit(start)).alias(id_col))

@@ -314,3 +314,22 @@ def test_naive_bayes_predict_matches_spark_ml_pipeline(spark):
     model = pipe.fit(train.withColumn("y", F.col("label").cast("double")))
     theirs = {r["doc_id"]: int(r["prediction"]) for r in model.transform(test).collect()}
     assert ours == theirs and len(ours) > 0
+
+
+def test_dense_row_ids_hot_key_spread(spark):
+    rows = [(7, i) for i in range(600)] + [(k, 0) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    out = ordering.dense_row_ids(df, "k", "v")
+    got = out.orderBy("row_id").collect()
+    assert [r["row_id"] for r in got] == list(range(1, 901))
+    keys = [r["k"] for r in got]
+    assert keys == sorted(keys)
+    # the hot key's rows are spread over more than one range partition
+    # (AQE would merge these tiny partitions, so coalescing is off here)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tagged = df.withColumn("_seq", F.monotonically_increasing_id()).orderBy("k", "v", "_seq")
+        parts = tagged.withColumn("_p", F.spark_partition_id()).filter("k = 7").select("_p").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1
