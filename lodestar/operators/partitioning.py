@@ -24,8 +24,12 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     that key, so a following aggregation or join keyed by ``key`` needs no
     further exchange.
     """
-    target = min_partitions or target_partitions(df.sparkSession)
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or target_partitions(df.sparkSession)
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
 

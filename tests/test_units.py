@@ -333,3 +333,17 @@ def test_dense_row_ids_hot_key_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts > 1
+
+
+def test_api_and_sql_forms_agree(spark):
+    # the reference runs the same grouped query through the API and through SQL
+    from conftest import SMALL
+    from lodestar.sources.tables import load
+
+    orders = load(spark, SMALL, "orders")
+    api = orders.filter(F.col("o_totalprice") > 1000).groupBy("o_orderpriority").agg(
+        F.avg("o_totalprice").alias("a"), F.max("o_custkey").alias("m"))
+    orders.createOrReplaceTempView("orders_eq")
+    sql = spark.sql("SELECT o_orderpriority, avg(o_totalprice) AS a, max(o_custkey) AS m "
+                    "FROM orders_eq WHERE o_totalprice > 1000 GROUP BY o_orderpriority")
+    assert sorted(map(tuple, api.collect())) == sorted(map(tuple, sql.collect()))
