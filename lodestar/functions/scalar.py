@@ -68,12 +68,8 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
     An input consisting only of separators yields an empty array, as in Java.
     Note Java returns ``[""]`` for the empty string itself; we return ``[]``.
     """
-    col = _col(c)
-    parts = F.split(col, sep)
-    # Trailing empties: strip the longest run of trailing separators first.
-    stripped = F.regexp_replace(col, f"(?:{sep})+$", "")
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, sep)) \
-        if sep else parts
+    stripped = F.regexp_replace(_col(c), f"(?:{sep})+$", "")  # trailing separators
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, sep))
 
 
 def split_words(c: str | Column, sep: str = " ") -> Column:

@@ -171,9 +171,10 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
     )
     unseen = params.groupBy(label).agg(F.first("log_prob_unseen").alias("log_prob_unseen"))
     priors = naive_bayes_priors(train_docs, label, smoothing).join(unseen, label)
-    # The fitted model is two tables (vocabulary-sized and K rows); store them
-    # once so scoring does not re-run training.
-    return materialize(vocab, "nb-vocab"), materialize(priors, "nb-priors")
+    # The fitted model is a vocabulary-sized table, stored once so scoring
+    # does not re-run training, and K prior rows.
+    spark = train_docs.sparkSession
+    return materialize(vocab, "nb-vocab"), spark.createDataFrame(priors.collect(), priors.schema)
 
 
 def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, vocab: DataFrame,

@@ -46,3 +46,13 @@ def test_text_classify_predicts_known_classes(spark):
     preds = {r[0] for r in df.select("prediction").distinct().collect()}
     assert preds <= {0.0, 1.0}
     assert df.count() > 0
+
+
+def test_hashed_pipeline_accuracy_close_to_exact(spark):
+    from conftest import MEDIUM
+
+    hashed = QUERIES["text_classify"](spark, MEDIUM)
+    exact = QUERIES["naive_bayes_predict"](spark, MEDIUM)
+    acc = lambda df: df.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    assert abs(acc(hashed) - acc(exact)) <= 0.1
+    assert hashed.count() == exact.count()
