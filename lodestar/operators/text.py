@@ -1,11 +1,11 @@
-"""Token-level text features as relational jobs.
+"""Token-level text features as relational jobs.
 
 Tokenising is a built-in expression (lower, regex split, drop empty tokens);
-term and document frequencies are grouped counts; IDF weights are joined
-back on the token.  A token found in most documents is a hot join key: the
-document-frequency side has one row per token, so AQE's skew-join handling
-can split the hot partition of the big side and copy the single matching
-row, and the grouped counts are combined map-side before any shuffle.
+term and document frequencies are grouped counts, combined map-side before
+any shuffle.  Joins of per-document rows with per-token weights split hot
+tokens off into a bounded broadcast (``split_hot_join``), so a token found
+in most documents never lands in one task.  Naive Bayes is trained and
+applied as aggregations and joins over these tables.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import split_words
 from lodestar.operators.joins import bounded_broadcast, with_scalars
+from lodestar.operators.partitioning import split_hot_join, spread
+from lodestar.session import materialize
 
 # Fixed value: Java's \s character class (space, tab, newline, vertical tab,
 # form feed, carriage return), written out so every regex engine agrees.
@@ -29,16 +31,12 @@ def tokens(text: str | Column) -> Column:
 
 def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
     """(word, n) over all lines, words split on ``sep`` (P16 + A2)."""
-    from lodestar.operators.partitioning import spread
-
     words = spread(df).select(F.explode(split_words(text, sep)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_frequency(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, token, tf): occurrences of each token in each document (M6, exact form)."""
-    from lodestar.operators.partitioning import spread
-
     exploded = spread(docs, doc_id).select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
     return exploded.groupBy(doc_id, *extra, "token").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -61,26 +59,22 @@ def idf(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
 
 
 def tf_idf(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = (),
-           materialize: bool = True) -> DataFrame:
+           store_stages: bool = True) -> DataFrame:
     """(doc_id, [extra], token, tf, idf, tf_idf) over a corpus.
 
-    Term frequencies are computed once; with ``materialize`` they and the
+    Term frequencies are computed once; with ``store_stages`` they and the
     vocabulary weights are written as tables to the shared folder
     (tokenising is the expensive step and its result feeds both the IDF
-    aggregation and the join).  The join of
-    frequencies with weights splits hot tokens off into a bounded broadcast
-    (see ``split_hot_join``).
+    aggregation and the join).  The join of frequencies with weights splits
+    hot tokens off into a bounded broadcast (see ``split_hot_join``).
     """
-    from lodestar.operators.partitioning import split_hot_join
-    from lodestar.session import materialize as materialize_table
-
     tf = term_frequency(docs, doc_id, text, extra)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     weights = idf(tf, n_docs).select("token", "df", "idf")
     total = None
-    if materialize:
-        tf = materialize_table(tf, "tf")
-        weights = materialize_table(idf(tf, n_docs).select("token", "df", "idf"), "idf")
+    if store_stages:
+        tf = materialize(tf, "tf")
+        weights = materialize(idf(tf, n_docs).select("token", "df", "idf"), "idf")
         total = tf.count()
     joined = split_hot_join(tf, weights, "token", "df", total_rows=total)
     return joined.select(
@@ -111,8 +105,6 @@ def naive_bayes_fit(docs: DataFrame, doc_id: str, text: str, label: str, smoothi
 def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0):
     """``naive_bayes_fit`` from term frequencies (doc, label, token, tf) and
     the number of training documents (an int or a scalar column)."""
-    from lodestar.session import materialize
-
     pairs = materialize(
         tf.groupBy(label, "token").agg(F.sum("tf").alias("_occ"), F.count(F.lit(1)).alias("_nd")),
         "nb-pairs",
@@ -158,8 +150,6 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
     IDF -> NaiveBayes pipeline fits, kept as tables instead of a driver-side
     matrix.  ``classes`` is the (small) list of label values.
     """
-    from lodestar.session import materialize
-
     n_docs = train_docs.agg(F.count(F.lit(1))).scalar()
     params, weights = naive_bayes_fit_tf(train_tf, n_docs, label, smoothing)
     deltas = (
@@ -189,8 +179,6 @@ def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, v
     Spark ML.  ``test_docs`` lists every document to score, so one without
     any training token is still scored (by its prior).
     """
-    from lodestar.operators.partitioning import split_hot_join
-
     tf = test_tf.select(doc_id, "token", "tf")
     model = vocab.join(document_frequency(tf), "token")
     x = split_hot_join(tf, model, "token", "df", total_rows=tf.count())

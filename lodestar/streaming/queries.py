@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import split_words
@@ -121,13 +121,11 @@ def read_complete(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(f"{sink}/complete")
 
 
-def read_latest(spark: SparkSession, sink: str, keys: Sequence[str | Column], values: Sequence[str]) -> DataFrame:
-    """Last emitted value per key from an ``update``-mode sink."""
+def read_latest(spark: SparkSession, sink: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Last emitted value per key from an ``update``-mode sink: one grouped
+    ``max_by`` over the appended updates (combined map-side per key)."""
     updates = spark.read.parquet(f"{sink}/updates")
-    key_names = [k if isinstance(k, str) else None for k in keys]
-    return updates.groupBy(*keys).agg(
-        *[F.max_by(v, "batch_id").alias(v) for v in values]
-    ).select(*[k for k in key_names if k], *values)
+    return updates.groupBy(*keys).agg(*[F.max_by(v, "batch_id").alias(v) for v in values])
 
 
 def batch_preview(n: int = 10):
