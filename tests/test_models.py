@@ -56,3 +56,22 @@ def test_hashed_pipeline_accuracy_close_to_exact(spark):
     acc = lambda df: df.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     assert abs(acc(hashed) - acc(exact)) <= 0.1
     assert hashed.count() == exact.count()
+
+
+def test_kmeans_assigns_nearest_centre(spark):
+    from lodestar.operators import features, models, stats
+
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = load(spark, SMALL, "lineitem", *cols)
+    z = stats.standardize(li, cols)
+    vec = features.assemble(z, [f"z_{c}" for c in cols])
+    model = models.kmeans(vec, k=4, seed=1)
+    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    scored = model.transform(vec)
+    dist = [sum((F.col(f"z_{c}") - F.lit(centre[i])) ** 2 for i, c in enumerate(cols)) for centre in centres]
+    nearest = F.lit(0)
+    best = dist[0]
+    for j in range(1, len(dist)):
+        nearest = F.when(dist[j] < best, F.lit(j)).otherwise(nearest)
+        best = F.least(best, dist[j])
+    assert scored.filter(nearest != F.col("prediction")).count() == 0
