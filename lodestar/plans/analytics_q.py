@@ -20,7 +20,7 @@ def _union_sql(template: str, cols) -> str:
 @query(
     "profile_mean_std",
     sql=_union_sql(
-        "SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev FROM lineitem",
+        "SELECT '{c}' AS \"column\", round(avg({c}), 6) + 0.0 AS mean, round(stddev_samp({c}), 6) + 0.0 AS stddev FROM lineitem",
         PROFILE_COLS,
     ),
 )
@@ -33,7 +33,7 @@ def profile_mean_std(spark, sf_dir):
     "standardize",
     sql="SELECT l_orderkey, l_linenumber, "
     + ", ".join(
-        f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS z_{c}" for c in PROFILE_COLS
+        f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) + 0.0 AS z_{c}" for c in PROFILE_COLS
     )
     + " FROM lineitem",
 )
@@ -49,7 +49,7 @@ CORR_COLS = ["l_quantity", "l_discount", "l_tax"]
 @query(
     "corr_with_target",
     sql=_union_sql(
-        "SELECT '{c}' AS \"column\", round(corr(l_extendedprice, {c}), 6) AS corr FROM lineitem", CORR_COLS
+        "SELECT '{c}' AS \"column\", round(corr(l_extendedprice, {c}), 6) + 0.0 AS corr FROM lineitem", CORR_COLS
     ),
 )
 def corr_with_target(spark, sf_dir):

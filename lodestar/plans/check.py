@@ -28,7 +28,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return v + 0.0  # folds -0.0 into 0.0
+        if v == 0.0 and math.copysign(1.0, v) < 0:
+            return "-0.0"  # keep the sign: a value hash would see it
+        return v
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())

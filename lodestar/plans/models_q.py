@@ -69,7 +69,7 @@ WITH t AS (SELECT l_extendedprice AS y, l_quantity AS q, l_discount AS d FROM li
 @query(
     "linear_regression",
     sql=_LR_SQL + """
-SELECT round(b0, 4) AS intercept, round(b1, 4) AS coef_l_quantity, round(b2, 4) AS coef_l_discount FROM coef
+SELECT round(b0, 4) + 0.0 AS intercept, round(b1, 4) + 0.0 AS coef_l_quantity, round(b2, 4) + 0.0 AS coef_l_discount FROM coef
 """,
 )
 def linear_regression(spark, sf_dir):
@@ -89,7 +89,7 @@ def linear_regression(spark, sf_dir):
 , s AS (SELECT l_extendedprice AS y, b0 + b1 * l_quantity + b2 * l_discount AS p
         FROM lineitem, coef WHERE NOT ({_split_sql('l_orderkey', LR_TRAIN_PERCENT)}))
 SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-       round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) AS r2,
+       round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) + 0.0 AS r2,
        count(*) AS n
 FROM s
 """,

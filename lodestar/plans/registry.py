@@ -3,6 +3,10 @@
 Each query is a function ``(spark, sf_dir) -> DataFrame`` built from the
 operators package.  The oracle, when one exists, is plain SQL over the same
 tables that DuckDB can run; its column names match the query's.
+
+Rounded doubles that can be near zero get ``+ 0.0`` in the oracle: DuckDB's
+``round`` keeps the sign of a negative zero, Spark's (decimal based) never
+produces one, and a value hash would tell them apart.
 """
 
 from __future__ import annotations
