@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame
 def _fit_persisted(estimator, df: DataFrame, columns: list[str]):
     """Fit on the needed columns, persisted (memory, spilling to disk) for the
     estimator's several passes and released afterwards; a lost block is
-    recomputed from lineage."""
+    recomputed from lineage.  An input the caller already persisted is used
+    as it is."""
     from pyspark import StorageLevel
 
+    if df.storageLevel != StorageLevel.NONE:
+        return estimator.fit(df)
     data = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(data)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from lodestar.operators.cleanse import deterministic_split
 from lodestar.operators.partitioning import spread
 from lodestar.operators.relational import group_count
 from lodestar.plans.registry import query
+from lodestar.session import materialize
 from lodestar.sources.tables import load
 
 
@@ -109,9 +111,13 @@ _KMEANS_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def kmeans_sizes(spark, sf_dir):
     li = spread(load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *_KMEANS_COLS))
     z = stats.standardize(li, _KMEANS_COLS, keep=("l_orderkey", "l_linenumber"))
-    vec = features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS])
-    model = models.kmeans(vec, k=4, seed=1)
-    return group_count(model.transform(vec), "prediction")
+    vec = features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS]).select("features")
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)  # used by the fit and the scoring
+    try:
+        model = models.kmeans(vec, k=4, seed=1)
+        return materialize(group_count(model.transform(vec), "prediction"), "kmeans-sizes")
+    finally:
+        vec.unpersist()
 
 
 def _embedding_split(spark, sf_dir):
@@ -156,7 +162,8 @@ def als_predict(spark, sf_dir):
         .agg(F.avg("l_quantity").alias("rating"))
     )
     split = deterministic_split(F.col("user") * F.lit(1009) + F.col("item"), 80)
-    ratings = ratings.withColumn("split", split)
+    # the ratings table feeds both training and scoring: build it once
+    ratings = materialize(ratings.withColumn("split", split), "ratings")
     model = models.als(ratings.filter("split = 'train'"))
     return model.transform(ratings.filter("split = 'test'")).select("user", "item", "rating", "prediction")
 
