@@ -254,3 +254,16 @@ def naive_bayes_predict(spark, sf_dir):
     pred = text.naive_bayes_predict(tf.filter("split = 'test'"), test_docs, "doc_id", vocab, priors,
                                     "label", NB_CLASSES)
     return test_docs.select("doc_id", "label").join(pred, "doc_id")
+
+
+@query(
+    "naive_bayes_accuracy",
+    sql=f"""
+WITH p AS ({_nb_sql()}),
+     a AS (SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy, count(*) AS n FROM p)
+SELECT accuracy, CAST(floor(accuracy * 100.0 + 0.5) AS BIGINT) AS accuracy_pct, n FROM a
+""",
+    note="M17 on the trained model: accuracy of naive_bayes_predict on the test split",
+)
+def naive_bayes_accuracy(spark, sf_dir):
+    return metrics.accuracy(naive_bayes_predict(spark, sf_dir))
