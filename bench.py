@@ -14,13 +14,12 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodestar.plans import QUERIES  # noqa: E402
-from lodestar.session import build_session  # noqa: E402
+from lodestar.session import build_session, checkpoint_dir  # noqa: E402
 
 
 def main() -> None:
@@ -28,11 +27,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or sorted(QUERIES)
-    conf = {"spark.driver.memory": "16g"}
-    scratch = tempfile.mkdtemp(prefix="lodestar-bench-")
-    conf["spark.checkpoint.dir"] = os.path.join(scratch, "ckpt")
+    # spark.checkpoint.dir comes from the environment's Spark configuration;
+    # checkpoint_dir() only picks a local folder when it is unset.
     spark = build_session(f"local[{cpus}]", app_name="lodestar-bench", shuffle_partitions=cpus * 2,
-                          extra_conf=conf)
+                          extra_conf={"spark.driver.memory": "16g"})
+    checkpoint_dir(spark)
     # warm the JVM, parquet readers and Python workers once
     QUERIES["count_rows"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,11 +14,10 @@ MEDIUM = "/root/testdata/sf0.01"
 def spark():
     from lodestar.session import build_session
 
-    ckpt = tempfile.mkdtemp(prefix="lodestar-test-ckpt-")
-    session = build_session(
-        "local[4]", app_name="lodestar-tests", shuffle_partitions=8,
-        extra_conf={"spark.checkpoint.dir": ckpt},
-    )
+    from lodestar.session import checkpoint_dir
+
+    session = build_session("local[4]", app_name="lodestar-tests", shuffle_partitions=8)
+    checkpoint_dir(session)  # the configured folder, or a local one if unset
     yield session
     session.stop()
 
