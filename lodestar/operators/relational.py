@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.scalar import try_double
+from lodestar.functions.scalar import is_numeric, try_double
 from lodestar.operators.joins import with_scalars
 
 
@@ -59,18 +59,29 @@ def keyed_max(df: DataFrame, key: str, value: str, alias: str = "max") -> DataFr
     return df.groupBy(key).agg(F.max(value).alias(alias))
 
 
-def mean_skip_invalid(df: DataFrame, column: str, alias: str = "mean") -> DataFrame:
-    """Mean of a text column over the values that parse as numbers (A5)."""
-    parsed = try_double(column)
-    return df.agg(F.avg(parsed).alias(alias), F.count(parsed).alias("n_valid"),
-                  F.count(F.lit(1)).alias("n_total"))
+def mean_skip_invalid(df: DataFrame, column: str, alias: str = "mean", exact: bool = False) -> DataFrame:
+    """Mean of a text column over the values that look like plain decimal
+    numbers (A5: the reference skips its header line this way).
+
+    With ``exact`` the values are summed as decimal(38, 6) and divided once,
+    so the result does not depend on the order in which partitions are added
+    up (doubles would differ in the last bits from run to run).
+    """
+    valid = df.filter(is_numeric(column))
+    if exact:
+        value = F.col(column).try_cast("decimal(38,6)")
+        mean = F.sum(value).cast("double") / F.count(F.lit(1))
+    else:
+        mean = F.avg(try_double(column))
+    return valid.agg(mean.alias(alias), F.count(F.lit(1)).alias("n_valid"))
 
 
 def count_above_mean(df: DataFrame, column: str) -> DataFrame:
     """Rows whose value is above the global mean.
 
-    The mean is one row, attached by a broadcast join (J3), then a
-    conditional count: two passes over the data, no accumulator.
+    The mean is a scalar subquery evaluated once (J3: the reference's
+    broadcast value), then a conditional count: two passes over the data,
+    no accumulator.
     """
     mean = df.agg(F.avg(column).alias("_mean"))
     return with_scalars(df.select(column), mean).agg(

@@ -182,12 +182,8 @@ FROM w WHERE regexp_full_match(word, '{NUMERIC_PATTERN[1:-1]}')
     note="mean of the numeric words of all documents; the sum is exact (decimal)",
 )
 def mean_skip_invalid(spark, sf_dir):
+    from lodestar.operators.relational import mean_skip_invalid as _mean
+
     docs = spread(load(spark, sf_dir, "documents", "text"))
     words = docs.select(F.explode(F.split("text", " ")).alias("word"))
-    # Exact decimal sum, then one division: the result does not depend on
-    # the order in which partitions are added up.
-    valid = words.filter(is_numeric("word")).select(F.col("word").try_cast("decimal(38,6)").alias("v"))
-    return valid.agg(
-        (F.sum("v").cast("double") / F.count(F.lit(1))).alias("mean_value"),
-        F.count(F.lit(1)).alias("n_valid"),
-    )
+    return _mean(words, "word", alias="mean_value", exact=True)
