@@ -18,6 +18,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
+from lodestar.functions.fixed import ALS_MAX_ITER, ALS_REG_PARAM, KMEANS_K, KMEANS_SEED
+
 
 def _fit_persisted(estimator, df: DataFrame, columns: list[str]):
     """Fit on the needed columns, persisted (memory, spilling to disk) for the
@@ -55,7 +57,7 @@ def random_forest(train: DataFrame, features: str = "features", label: str = "la
     return RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params).fit(train)
 
 
-def kmeans(df: DataFrame, k: int = 4, seed: int = 1, features: str = "features", **params):
+def kmeans(df: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED, features: str = "features", **params):
     """K-means clustering (M12), k=4 and seed=1 as in the reference.
 
     The feature column is persisted (memory, spilling to disk) for the
@@ -66,7 +68,8 @@ def kmeans(df: DataFrame, k: int = 4, seed: int = 1, features: str = "features",
 
 
 def als(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
-        max_iter: int = 5, reg_param: float = 0.01, seed: int = 1, cold_start: str = "nan", **params):
+        max_iter: int = ALS_MAX_ITER, reg_param: float = ALS_REG_PARAM, seed: int = 1, cold_start: str = "nan",
+        **params):
     """Alternating least squares recommender.
 
     Ids must fit in a 32-bit int (an ALS requirement).  ``cold_start='nan'``

@@ -13,15 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions.fixed import WHITESPACE  # noqa: F401  (re-exported; Java's \s spelled out)
 from lodestar.functions.scalar import split_words
 from lodestar.operators.joins import bounded_broadcast, with_scalars
 from lodestar.operators.partitioning import split_hot_join, spread
 from lodestar.session import materialize
 
-# Fixed value: Java's \s character class (space, tab, newline, vertical tab,
-# form feed, carriage return), written out so every regex engine agrees.
-WHITESPACE = r"[ \t\n\x0B\f\r]+"
-
 
 def tokens(text: str | Column) -> Column:
     """Lower-case, split on whitespace runs, drop empty tokens (M5)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import split_words
+from lodestar.functions.fixed import CLASSIFIER_TRAIN_PERCENT
 from lodestar.operators import metrics, stats, text
 from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
@@ -57,8 +58,8 @@ def corr_with_target(spark, sf_dir):
     return stats.corr_with_target(li, "l_extendedprice", CORR_COLS, digits=6)
 
 
-# Fixed value: the rule "long documents are good quality" that is scored
-# against the quality labels.
+# Query parameter (ours): the rule "long documents are good quality" that is
+# scored against the quality labels.
 LONG_DOC_CHARS = 1000
 
 _RULE_SQL = f"""
@@ -199,7 +200,7 @@ def naive_bayes_priors(spark, sf_dir):
     return pri.select("label", F.round("log_prior", 6).alias("log_prior"))
 
 
-NB_TRAIN_PERCENT = 70
+NB_TRAIN_PERCENT = CLASSIFIER_TRAIN_PERCENT
 NB_CLASSES = [0, 1]
 
 

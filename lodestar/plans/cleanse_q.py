@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.functions.scalar import NUMERIC_PATTERN, is_numeric, split_words
+from lodestar.functions.fixed import (
+    CLASSIFIER_TRAIN_PERCENT, MISSING_FILL, MISSING_MARKER, NUMERIC_PATTERN, RECODE_EQUAL, RECODE_OTHER,
+)
+from lodestar.functions.scalar import is_numeric, split_words
 from lodestar.operators import cleanse
 from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
@@ -82,8 +85,7 @@ def scan_json_roundtrip(spark, sf_dir):
     return files.read_json(spark, path, schema=nation.schema)
 
 
-# Fixed value: the fill used for a missing measurement (the reference fills 80.0).
-IMPUTE_FILL = 80.0
+IMPUTE_FILL = MISSING_FILL
 
 
 @query(
@@ -98,10 +100,10 @@ def impute_marker(spark, sf_dir):
     events = load(spark, sf_dir, "events", "event_id", "event_type", "value")
     raw = events.select(
         "event_id",
-        F.when(F.col("event_type") == "error", F.lit("?"))
+        F.when(F.col("event_type") == "error", F.lit(MISSING_MARKER))
         .otherwise(F.col("value").cast("string")).alias("value_text"),
     )
-    return cleanse.impute_marker(raw, "value_text", IMPUTE_FILL, "?", alias="value_filled") \
+    return cleanse.impute_marker(raw, "value_text", IMPUTE_FILL, MISSING_MARKER, alias="value_filled") \
         .select("event_id", "value_filled")
 
 
@@ -111,7 +113,8 @@ def impute_marker(spark, sf_dir):
 )
 def recode_binary(spark, sf_dir):
     customer = load(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
-    return cleanse.recode_binary(customer, "c_mktsegment", "BUILDING", 1.0, 2.0, alias="segment_code") \
+    return cleanse.recode_binary(customer, "c_mktsegment", "BUILDING", RECODE_EQUAL, RECODE_OTHER,
+                                 alias="segment_code") \
         .select("c_custkey", "segment_code")
 
 
@@ -133,7 +136,7 @@ def indicator_columns(spark, sf_dir):
     return cleanse.indicator_columns(orders, "o_orderstatus", ORDER_STATUSES).drop("o_orderstatus")
 
 
-SPLIT_TRAIN_PERCENT = 70
+SPLIT_TRAIN_PERCENT = CLASSIFIER_TRAIN_PERCENT
 
 
 @query(

@@ -6,6 +6,9 @@ from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from lodestar.functions.fixed import (
+    CLASSIFIER_TRAIN_PERCENT, KMEANS_K, KMEANS_SEED, PCA_K, RECOMMENDER_TRAIN_PERCENT, REGRESSION_TRAIN_PERCENT,
+)
 from lodestar.operators import features, metrics, models, stats
 from lodestar.operators.cleanse import deterministic_split
 from lodestar.operators.partitioning import spread
@@ -45,7 +48,7 @@ def index_to_string(spark, sf_dir):
 
 
 # Regression of price on quantity and discount, trained on 90% of orders.
-LR_TRAIN_PERCENT = 90
+LR_TRAIN_PERCENT = REGRESSION_TRAIN_PERCENT
 _LR_FEATURES = ["l_quantity", "l_discount"]
 
 
@@ -114,7 +117,7 @@ def kmeans_sizes(spark, sf_dir):
     vec = features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS]).select("features")
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)  # used by the fit and the scoring
     try:
-        model = models.kmeans(vec, k=4, seed=1)
+        model = models.kmeans(vec, k=KMEANS_K, seed=KMEANS_SEED)
         return materialize(group_count(model.transform(vec), "prediction"), "kmeans-sizes")
     finally:
         vec.unpersist()
@@ -124,7 +127,7 @@ def _embedding_split(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     data = emb.select("vec_id", F.col("label").cast("double").alias("label"),
                       features.array_features("embedding").alias("features"),
-                      deterministic_split(F.col("vec_id"), 70).alias("split"))
+                      deterministic_split(F.col("vec_id"), CLASSIFIER_TRAIN_PERCENT).alias("split"))
     return data.filter("split = 'train'"), data.filter("split = 'test'")
 
 
@@ -139,7 +142,7 @@ def decision_tree(spark, sf_dir):
 def pca_project(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
     data = emb.select("vec_id", features.array_features("embedding").alias("features"))
-    projected, _ = features.pca(data, 3)
+    projected, _ = features.pca(data, PCA_K)
     arr = vector_to_array(F.col("pca_features"))
     return projected.select("vec_id", arr[0].alias("pc1"), arr[1].alias("pc2"), arr[2].alias("pc3"))
 
@@ -147,7 +150,7 @@ def pca_project(spark, sf_dir):
 @query("random_forest", note="rows-only: one prediction per test embedding")
 def random_forest(spark, sf_dir):
     train, test = _embedding_split(spark, sf_dir)
-    pca_model = features.PCA(k=3, inputCol="features", outputCol="pca_features").fit(train)
+    pca_model = features.PCA(k=PCA_K, inputCol="features", outputCol="pca_features").fit(train)
     model = models.random_forest(pca_model.transform(train), features="pca_features", seed=1)
     return model.transform(pca_model.transform(test)).select("vec_id", "label", "prediction")
 
@@ -161,7 +164,7 @@ def als_predict(spark, sf_dir):
         .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_suppkey").cast("int").alias("item"))
         .agg(F.avg("l_quantity").alias("rating"))
     )
-    split = deterministic_split(F.col("user") * F.lit(1009) + F.col("item"), 80)
+    split = deterministic_split(F.col("user") * F.lit(1009) + F.col("item"), RECOMMENDER_TRAIN_PERCENT)
     # the ratings table feeds both training and scoring: build it once
     ratings = materialize(ratings.withColumn("split", split), "ratings")
     model = models.als(ratings.filter("split = 'train'"))
@@ -174,7 +177,7 @@ def text_classify(spark, sf_dir):
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
     data = docs.join(labels, "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"),
-        deterministic_split(F.col("doc_id"), 70).alias("split"),
+        deterministic_split(F.col("doc_id"), CLASSIFIER_TRAIN_PERCENT).alias("split"),
     )
     model = models.text_classifier().fit(data.filter("split = 'train'"))
     return model.transform(data.filter("split = 'test'")).select("doc_id", "label", "prediction")

@@ -8,7 +8,7 @@ from lodestar.operators import relational as rel
 from lodestar.plans.registry import query
 from lodestar.sources.tables import load
 
-# Fixed value: price threshold of the flagship filter (the reference filters age > 30).
+# Query parameter (ours): price threshold of the flagship filter, in the role of the reference's age > 30.
 FLAGSHIP_MIN_PRICE = 100000.0
 
 
@@ -44,7 +44,7 @@ def select_cols(spark, sf_dir):
     return rel.select_cols(load(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", "o_totalprice")
 
 
-# Fixed value: equality probe (the reference filters age == 40).
+# Query parameter (ours): equality probe, in the role of the reference's age == 40.
 EQ_QUANTITY = 40.0
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestar.functions.fixed import WINDOW_LENGTH, WINDOW_SLIDE
 from lodestar.plans.registry import query
 from lodestar.session import ensure_utc, scratch_path
 from lodestar.sources.tables import load
@@ -44,12 +45,12 @@ def stream_running_word_count(spark, sf_dir):
     return sq.read_latest(spark, sink, ["word"], ["n"])
 
 
-# Window length and slide of the reference (15 s / 3 s batches),
-# scaled to the event table's minute-level timestamps.
-WINDOW = "15 minutes"
-SLIDE = "3 minutes"
-WINDOW_US = 15 * 60 * 1_000_000
-SLIDE_US = 3 * 60 * 1_000_000
+# The reference's window and slide (15 / 3 time units, seconds there) applied in
+# minutes, the resolution of the event table's timestamps.
+WINDOW = f"{WINDOW_LENGTH} minutes"
+SLIDE = f"{WINDOW_SLIDE} minutes"
+WINDOW_US = WINDOW_LENGTH * 60 * 1_000_000
+SLIDE_US = WINDOW_SLIDE * 60 * 1_000_000
 
 _SLIDING_SQL = f"""
 WITH e AS (SELECT event_type, epoch_us(ts) AS us FROM events),
