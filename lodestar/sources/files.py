@@ -60,3 +60,22 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
+
+
+def read_csv_parts(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+    """A folder of CSV parts where only some parts start with the header
+    line (S11: e.g. the first part of an export).
+
+    The ``header`` option would drop the first line of *every* part, losing
+    a data row from each part written without one.  Here lines are read as
+    text, only lines equal to the header (the schema's column names joined
+    by ``sep``) are dropped, and the rest are parsed with the built-in
+    ``from_csv``.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    header = sep.join(schema.fieldNames())
+    lines = read_text_lines(spark, path)
+    lines = lines.filter(F.col("value") != F.lit(header))
+    parsed = F.from_csv(F.col("value"), schema.toDDL(), {"sep": sep})
+    return lines.select(parsed.alias("_r")).select("_r.*")

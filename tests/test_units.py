@@ -104,6 +104,8 @@ def test_csv_variants_s2_s3_s4_s11(spark, tmp_path):
     assert both.count() == 1
     raw = files.read_text_lines(spark, str(parts), drop_header="MAKE,HP")
     assert raw.count() == 2
+    mixed = files.read_csv_parts(spark, str(parts), "MAKE string, HP int")
+    assert sorted(map(tuple, mixed.collect())) == [("audi", 120), ("bmw", 180)]
 
 
 def test_json_inferred_and_explicit(spark, tmp_path):
@@ -348,3 +350,18 @@ def test_api_and_sql_forms_agree(spark):
     sql = spark.sql("SELECT o_orderpriority, avg(o_totalprice) AS a, max(o_custkey) AS m "
                     "FROM orders_eq WHERE o_totalprice > 1000 GROUP BY o_orderpriority")
     assert sorted(map(tuple, api.collect())) == sorted(map(tuple, sql.collect()))
+
+
+def test_scale_before_pca_d14(spark):
+    from pyspark.ml.feature import PCA
+
+    rows = [(float(i), float(i % 7) * 1000.0, float(i % 3)) for i in range(40)]
+    df = features.assemble(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"])
+    scaled, _ = features.scale(df, "features", "scaled")
+    raw_model = PCA(k=2, inputCol="features", outputCol="pc").fit(df)
+    scaled_model = PCA(k=2, inputCol="scaled", outputCol="pc").fit(scaled)
+    # unscaled, the large column b dominates the first component
+    assert abs(raw_model.pc.toArray()[1, 0]) > 0.99
+    assert abs(scaled_model.pc.toArray()[1, 0]) < 0.99
+    projected, _ = features.pca(scaled, 2, input_col="scaled")
+    assert projected.count() == 40
