@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import WHITESPACE  # noqa: F401  (re-exported; Java's \s spelled out)
 from lodestar.functions.scalar import split_words
-from lodestar.operators.joins import bounded_broadcast, with_scalars
+from lodestar.operators.joins import with_scalars
 from lodestar.operators.partitioning import split_hot_join, spread
 from lodestar.session import materialize
 
@@ -115,7 +115,8 @@ def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0
     per_class = f.groupBy(label).agg(F.sum("_f").alias("_fc"))  # one row per class
     a = F.lit(float(smoothing))
     denom = F.col("_fc") + a * vocab_size
-    params = f.join(bounded_broadcast(per_class, 100_000), label).select(
+    # per_class has one row per class; AQE broadcasts it from its measured size
+    params = f.join(per_class, label).select(
         label, "token",
         F.log((F.col("_f") + a) / denom).alias("log_prob"),
         F.log(a / denom).alias("log_prob_unseen"),
