@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.functions.scalar import split_words
 from lodestar.functions.fixed import CLASSIFIER_TRAIN_PERCENT
 from lodestar.operators import metrics, stats, text
 from lodestar.operators.partitioning import spread
