@@ -365,3 +365,17 @@ def test_scale_before_pca_d14(spark):
     assert abs(scaled_model.pc.toArray()[1, 0]) < 0.99
     projected, _ = features.pca(scaled, 2, input_col="scaled")
     assert projected.count() == 40
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from conftest import SMALL
+    from lodestar.sources.tables import load
+
+    orders = load(spark, SMALL, "orders", "o_orderkey", "o_custkey")
+    lines = load(spark, SMALL, "lineitem", "l_orderkey", "l_quantity")
+    o = files.write_bucketed(orders, "t_orders_b", "o_orderkey", 8, scratch_path(spark, "orders-b"))
+    li = files.write_bucketed(lines, "t_lineitem_b", "l_orderkey", 8, scratch_path(spark, "lineitem-b"))
+    joined = li.join(o, li.l_orderkey == o.o_orderkey)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert joined.count() == lines.join(orders, lines.l_orderkey == orders.o_orderkey).count()
