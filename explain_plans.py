@@ -34,8 +34,11 @@ def main(argv):
     spark = build_session("local[8]", shuffle_partitions=16)
     lines = ["# PLANS", "",
              f"Physical plans of the registered queries at `{sf_dir}` (generated by `explain_plans.py`).",
-             "Static auto-broadcast is off in our sessions; `BroadcastExchange` nodes come from",
-             "size-checked hints (`bounded_broadcast`) or scalar subqueries.", ""]
+             "Static auto-broadcast is off in our sessions: `BroadcastExchange` nodes come from",
+             "size-checked hints (`bounded_broadcast`); one-row statistics appear as `Subquery`",
+             "nodes (evaluated once).  These are the plans before adaptive re-planning; at run time",
+             "AQE may still turn a shuffle join into a broadcast from measured sizes (32 MB) and",
+             "split skewed partitions.", ""]
     for name in sorted(QUERIES):
         df = QUERIES[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
