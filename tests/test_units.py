@@ -379,3 +379,24 @@ def test_bucketed_tables_join_without_exchange(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert joined.count() == lines.join(orders, lines.l_orderkey == orders.o_orderkey).count()
+
+
+def test_flagship_hot_key_reaches_join_as_one_row(spark):
+    # customer 0 holds a third of all orders
+    orders = spark.createDataFrame(
+        [(0, 100.0 + i) for i in range(300)] + [(1 + i % 60, 50.0 + i) for i in range(600)],
+        "o_custkey long, o_totalprice double")
+    customer = spark.createDataFrame([(k, "SEG%d" % (k % 3)) for k in range(61)],
+                                     "c_custkey long, c_mktsegment string")
+    pred = F.col("o_totalprice") > 60.0
+    out = relational.filter_join_aggregate(orders, customer, "o_custkey", "c_custkey", "c_mktsegment",
+                                           "o_totalprice", pred)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the aggregate per join key sits below the join
+    assert plan.index("Join") < plan.rindex("Aggregate")
+    direct = (orders.filter(pred).join(customer, orders.o_custkey == customer.c_custkey)
+              .groupBy("c_mktsegment").agg(F.avg("o_totalprice").alias("a"), F.max("o_totalprice").alias("m"),
+                                           F.count(F.lit(1)).alias("n")))
+    got = {r[0]: (round(r[1], 9), r[2], r[3]) for r in out.collect()}
+    want = {r[0]: (round(r[1], 9), r[2], r[3]) for r in direct.collect()}
+    assert got == want
