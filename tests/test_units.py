@@ -400,3 +400,12 @@ def test_flagship_hot_key_reaches_join_as_one_row(spark):
     got = {r[0]: (round(r[1], 9), r[2], r[3]) for r in out.collect()}
     want = {r[0]: (round(r[1], 9), r[2], r[3]) for r in direct.collect()}
     assert got == want
+
+
+def test_cli_lists_and_rejects_unknown(capsys):
+    from lodestar.__main__ import main
+
+    assert main(["lodestar", "list"]) == 0
+    listed = capsys.readouterr().out
+    assert "filter_join_agg" in listed and "rows-only" in listed
+    assert main(["lodestar", "show", "no_such_query"]) == 2
