@@ -64,3 +64,26 @@ def test_stream_equals_batch_on_same_rows(spark):
     streamed = spark.read.parquet(sink).groupBy("word").agg(F.sum("n").alias("n"))
     batch = sq.count_words(sq.words(lines, "text"))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_each_micro_batch_counts_only_its_own_rows(spark):
+    # one file per slice, one file per trigger: every batch is exactly one slice
+    rows = [(i, i // 10, f"w{i % 4} w{i % 3} z") for i in range(40)]
+    lines = spark.createDataFrame(rows, "id int, slice int, text string")
+    path = scratch_path(spark, "t-slices")
+    lines.repartition(4, "slice").write.partitionBy("slice").parquet(path)
+    stream = file_stream(spark, path, lines.schema)
+    sink = scratch_path(spark, "t-slices-sink")
+
+    def per_batch(batch):
+        return batch.select("slice", F.explode(F.split("text", " ")).alias("word")) \
+            .groupBy("slice", "word").count()
+
+    sq.run_per_batch(stream, per_batch, sink)
+    out = spark.read.parquet(sink)
+    # each batch holds a single slice ...
+    assert out.groupBy("batch_id").agg(F.countDistinct("slice").alias("k")).filter("k != 1").count() == 0
+    # ... and its counts equal a batch count over that slice alone
+    streamed = sorted((r["slice"], r["word"], r["count"]) for r in out.collect())
+    batch = lines.select("slice", F.explode(F.split("text", " ")).alias("word")).groupBy("slice", "word").count()
+    assert streamed == sorted((r["slice"], r["word"], r["count"]) for r in batch.collect())
