@@ -4,7 +4,7 @@ Everything that must survive an executor loss (checkpoints, replay files,
 round-trip scratch tables) goes under the folder named by
 ``spark.checkpoint.dir``.  On a cluster that setting must point at shared
 storage; we only invent a local folder when the session runs in local mode
-and nobody set one (tests, the bench).
+and nobody set one (e.g. a test run without Spark defaults).
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ Sinks are tables under the shared checkpoint folder, written from
   ``<sink>/batch_id=<n>``, overwritten if the batch is re-run after a
   failure, so the sink is exactly-once.
 * ``update``: only the keys changed by a batch are appended, tagged with the
-  batch id; ``latest`` reads the last value per key.  State is the running
+  batch id; ``read_latest`` gives the last value per key.  State is the running
   aggregate, evicted by the watermark when there is one.
 * ``complete``: the whole result table replaces the sink each batch; use it
   when the number of result keys is small (windows x types).
