@@ -1,8 +1,9 @@
 """Join helpers.
 
 Broadcasting is only done behind a measured bound: ``bounded_broadcast``
-counts at most ``max_rows + 1`` rows of the candidate side (a cheap,
-early-terminating job) and broadcasts only if the side fits.  Otherwise the
+reads at most ``max_rows + 1`` rows of the candidate side (a cheap,
+early-terminating job), counting rows and bytes, and broadcasts only if the
+side fits both bounds.  Otherwise the
 plain join is returned and Spark plans a shuffle join, which AQE can still
 turn into a broadcast at runtime from real shuffle statistics, and whose
 skewed partitions AQE splits.
@@ -13,19 +14,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor; 1M short rows is a few tens
-# of MB, well inside executor memory.
+# A broadcast side is copied to every executor: at most 1M rows and about
+# 64 MB (measured as the JSON text of the rows) per broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_rows(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, if given, at most
+    about ``max_bytes`` of data.  One job that reads at most max_rows + 1 rows."""
+    probe = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return probe.count() <= max_rows
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
+    row = probe.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if its size is proven small, else leave it alone."""
-    return F.broadcast(df) if fits_rows(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its size is proven small (rows and bytes),
+    else leave it alone for a shuffle join."""
+    return F.broadcast(df) if fits_rows(df, max_rows, max_bytes) else df
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Column | str | list, broadcast_right: bool = False,

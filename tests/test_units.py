@@ -409,3 +409,10 @@ def test_cli_lists_and_rejects_unknown(capsys):
     listed = capsys.readouterr().out
     assert "filter_join_agg" in listed and "rows-only" in listed
     assert main(["lodestar", "show", "no_such_query"]) == 2
+
+
+def test_bounded_broadcast_byte_bound(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "k int, pad string")
+    assert joins.fits_rows(wide, 100)
+    assert not joins.fits_rows(wide, 100, max_bytes=10_000)
+    assert joins.bounded_broadcast(wide, 100, max_bytes=10_000) is wide
