@@ -1,9 +1,8 @@
 """Join helpers.
 
 Broadcasting is only done behind a measured bound: ``bounded_broadcast``
-reads at most ``max_rows + 1`` rows of the candidate side (a cheap,
-early-terminating job), counting rows and bytes, and broadcasts only if the
-side fits both bounds.  Otherwise the
+counts the rows and bytes of the candidate side with partial aggregates (one
+row per task is moved) and broadcasts only if the side fits both bounds.  Otherwise the
 plain join is returned and Spark plans a shuffle join, which AQE can still
 turn into a broadcast at runtime from real shuffle statistics, and whose
 skewed partitions AQE splits.
@@ -13,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A broadcast side is copied to every executor: at most 1M rows and about
 # 64 MB (measured as the JSON text of the rows) per broadcast.
@@ -22,13 +22,25 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 
 def fits_rows(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and, if given, at most
-    about ``max_bytes`` of data.  One job that reads at most max_rows + 1 rows."""
-    probe = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return probe.count() <= max_rows
-    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
-    row = probe.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+    about ``max_bytes`` of data.  Counted by a partial aggregate in every task:
+    one row per task is moved, whatever the size of ``df``."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return row["n"] <= max_rows and (max_bytes is None or (row["b"] or 0) <= max_bytes)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: bytes of its strings and binaries, 8 for a fixed-width
+    value, the JSON text of nested values."""
+    total = F.lit(0)
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+        else:
+            total = total + 8
+    return total
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
