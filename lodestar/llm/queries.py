@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import mixing, simhash
+from lodestar.llm import langid, mixing, packing, quality, simhash
 from lodestar.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,21 @@ SELECT d.doc_id, d.size, b.source_size, b.target,
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
        JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(load(spark, sf_dir, "documents", "doc_id", "text"),
+                            load(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs).drop("spans")
+
+
+@_query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return packing.pack_documents(docs, capacity=packing.CAPACITY)
