@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm import langid, mixing, packing, quality, simhash
+from lodestar.llm import langid, mixing, packing, quality, simhash, tokenfile, warc
 from lodestar.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +85,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "source", "text")
     return packing.pack_documents(docs, capacity=packing.CAPACITY)
+
+
+@_query
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages", "page_id", "url", "html")
+    manifest = warc.write_archives(pages, "page_id", "html", "url")
+    chunks = warc.read_archives(spark, manifest, with_data=False)
+    return chunks.filter("is_last").select(
+        F.col("record_key").cast("long").alias("page_id"), F.col("total_bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLES["op1_warc_chunks"] = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+     f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)
+"""
+
+
+@_query
+def op7_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    manifest = tokenfile.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.read_tokens(spark, manifest)
