@@ -6,9 +6,11 @@ node introduces its neighbours, forward and reverse, to each other - a Spark
 join of neighbours of neighbours - and a pair stays if it beats the worst
 neighbour of one of them.  Vectors travel in half precision here.
 
-Search.  Every query keeps a list of the best nodes seen, expands its best
-unexpanded ones by joining the graph, scores what is new exactly on the
-original vectors, and stops when its list has nothing left to expand.
+Search.  Rows are dealt over shards of bounded expected size, each with its own
+graph; (shard) x (block of queries) cells are searched in tasks that hold one
+shard.  Every query keeps a list of the best nodes seen, expands the best
+unexpanded ones, and stops when the whole list is expanded.  Final scores are
+taken in double precision on the original vectors.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ NEIGHBOURS = 20  # per node of the graph
 LEAF, TREES = 200, 3  # expected rows per leaf; leaves per row
 ROUNDS = 2  # of NN-descent
 JOINED = 12  # neighbours per direction that a node introduces in a round
-LIST, EXPAND, STEPS = 40, 10, 8  # search: list length, expansions per step, most steps
+LIST, EXPAND = 320, 16  # search: list length, nodes expanded at once
+SHARD, QUERIES = 1 << 14, 128  # expected rows per shard and queries per cell
+ENTRIES = 64  # nodes of a shard that a search begins with
 
 
 def _binary(width: int):
@@ -57,8 +61,8 @@ def _leaves(planes: np.ndarray, offsets: np.ndarray, width: int):
             for t in range(trees):
                 code = ((m @ planes[t].T > offsets[t]) << np.arange(bits, dtype=np.int64)).sum(axis=1) if bits else np.zeros(len(m), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node"), batch.column("h"), pa.array(np.full(len(m), t, np.int64)), pa.array(code.astype(np.int64))],
-                    ["node", "h", "tree", "code"])
+                    [*(batch.column(c) for c in ("node", "shard", "h")), pa.array(np.full(len(m), t, np.int64)), pa.array(code.astype(np.int64))],
+                    ["node", "shard", "h", "tree", "code"])
 
     return deal
 
@@ -116,13 +120,13 @@ def _closest(edges: DataFrame, k: int) -> DataFrame:
 
 def build_graph(nodes: DataFrame, width: int, k: int = NEIGHBOURS, rounds: int = ROUNDS, leaf: int = LEAF,
                 trees: int = TREES) -> DataFrame:
-    """Edges (a, b, s, r): the k neighbours found for every node, r their rank.
+    """Edges (a, b, s, r): the k neighbours found for every node in its shard, r their rank.
 
-    ``nodes``: node long (unique), h binary (float16 vector).  Every node is in
-    the graph; a leaf that is much fuller than expected (many equal vectors)
+    ``nodes``: node long (unique), shard, h binary (float16 vector).  Every
+    node with another in its shard is in the graph; a leaf that is much fuller than expected (many equal vectors)
     is dealt over several tasks by hash."""
-    size = nodes.count()
-    bits = max(0, math.ceil(math.log2(max(1, size / leaf))))
+    rows = nodes.agg(F.count("node"), F.max("shard")).first()
+    bits = max(0, math.ceil(math.log2(max(1, rows[0] / ((rows[1] or 0) + 1) / leaf))))
     sample = nodes.orderBy(hash60(F.col("node")), "node").limit(2 * bits * trees).select("h").collect()  # a bounded sample: places hyperplanes
     points = np.array([np.frombuffer(r["h"], np.float16) for r in sample], np.float32).reshape(-1, width)
     while len(points) < 2 * bits * trees:
@@ -130,10 +134,12 @@ def build_graph(nodes: DataFrame, width: int, k: int = NEIGHBOURS, rounds: int =
     points = points[:2 * bits * trees].reshape(trees, bits, 2, width)
     planes = points[:, :, 0] - points[:, :, 1]
     offsets = (planes * (points[:, :, 0] + points[:, :, 1]) / 2).sum(axis=-1)
-    dealt = materialize(nodes.select("node", "h").mapInArrow(_leaves(planes, offsets, width), "node long, h binary, tree long, code long"), "ann-leaves")
-    full = dealt.groupBy("tree", "code").agg(F.ceil(F.count("node") / (2 * leaf)).alias("split"))
-    dealt = dealt.join(full, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("split")))
-    start = dealt.groupBy("tree", "code", "part").applyInArrow(_inside(width, k), "a long, b long, s float")
+    dealt = materialize(nodes.select("node", "shard", "h").mapInArrow(
+        _leaves(planes, offsets, width), "node long, shard long, h binary, tree long, code long"), "ann-leaves")
+    key = ["shard", "tree", "code"]
+    full = dealt.groupBy(*key).agg(F.ceil(F.count("node") / (2 * leaf)).alias("split"))
+    dealt = dealt.join(full, key).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("split")))
+    start = dealt.groupBy(*key, "part").applyInArrow(_inside(width, k), "a long, b long, s float")
     graph = materialize(_closest(start, k), "ann-graph")
     for turn in range(rounds):
         # forward and reverse neighbours that each node introduces; a hub keeps a hashed choice of its reverse ones
@@ -151,47 +157,112 @@ def build_graph(nodes: DataFrame, width: int, k: int = NEIGHBOURS, rounds: int =
     return graph
 
 
-def _exact(width: int):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (from_bytes(batch.column(c), np.float64, width) for c in ("x", "y"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("q"), batch.column("node"), pa.array((x * y).sum(axis=1))], ["q", "node", "s"])
-
-    return score
-
-
-def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, entries: DataFrame, width: int,
-                  k: int = NEIGHBOURS, steps: int = STEPS) -> DataFrame:
-    """(q, node, s) of all nodes scored for every query.
-
-    ``nodes``: node, v (float64 bytes); ``queries``: q, x (the same);
-    ``entries``: (q, node) to start from.  A query's own node never counts."""
-    nearest = Window.partitionBy("q").orderBy(F.desc("s"), "node")
-    hops = graph.select("a", "b").unionByName(
-        graph.withColumn("p", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("s"), "a")))
-        .filter(F.col("p") <= k).select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    hops = materialize(hops, "ann-hops")
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        rows = pairs.join(nodes.select("node", F.col("v").alias("y")), "node").join(queries.select("q", "x"), "q")
-        return rows.select("q", "node", "x", "y").mapInArrow(_exact(width), "q long, node long, s double")
-
-    seen = materialize(scored(entries.filter("q <> node").distinct()).withColumn("done", F.lit(False)), "ann-seen")
-    for _ in range(steps):
-        listed = seen.withColumn("r", F.row_number().over(nearest))
-        waiting = Window.partitionBy("q").orderBy("r")
-        turn = (listed.filter((F.col("r") <= LIST) & ~F.col("done")).withColumn("t", F.row_number().over(waiting))
-                .filter(F.col("t") <= EXPAND).select("q", F.col("node").alias("at")))
-        turn = materialize(turn, "ann-turn")
-        if turn.isEmpty():
-            break
-        new = turn.join(hops, turn["at"] == hops["a"]).select("q", F.col("b").alias("node")).filter("q <> node").distinct()
-        new = scored(new.join(seen.select("q", "node"), ["q", "node"], "left_anti")).withColumn("done", F.lit(False))
-        marked = seen.join(turn.select("q", F.col("at").alias("node"), F.lit(True).alias("now")), ["q", "node"], "left")
-        old = marked.select("q", "node", "s", F.coalesce("now", "done").alias("done"))
-        seen = materialize(old.unionByName(new), "ann-seen")
-    return seen.select("q", "node", "s")
+def _beam(adjacent: np.ndarray, points: np.ndarray, asked: np.ndarray, own: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy search of several queries at once: (positions, scores) of each query's list.
+
+    ``adjacent``: neighbours of every position, -1 for none.  ``own``: the
+    query's own position, or -1; it never counts."""
+    n, q = len(points), len(asked)
+    size = min(size, n)
+    seen = np.zeros((q, n + 1), bool)
+    seen[:, n] = True  # "no neighbour" counts as seen
+    seen[np.arange(q), own] = True  # own = -1: the same column
+    row = np.arange(q)[:, None]
+
+    def score(found: np.ndarray) -> np.ndarray:
+        """Scores of positions (q, m); those seen before, and second mentions, get -inf."""
+        order = np.argsort(found, axis=1, kind="stable")
+        twice = np.zeros_like(found, bool)
+        ranked = np.take_along_axis(found, order, 1)
+        np.put_along_axis(twice, order[:, 1:], ranked[:, 1:] == ranked[:, :-1], 1)
+        out = np.einsum("qd,qmd->qm", asked, points[np.minimum(found, n - 1)])
+        out[seen[row, found] | twice] = -np.inf
+        seen[row, found] = True
+        return out
+
+    first = np.unique(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64))
+    nodes = np.broadcast_to(first, (q, len(first))).copy()
+    near = np.where(own[:, None] >= 0, adjacent[own], n)  # a query that is in the graph also begins with its neighbours
+    nodes = np.concatenate((nodes, np.where(near < 0, n, near)), axis=1)
+    scores = score(nodes)
+    done = np.isneginf(scores)
+    active = np.arange(q)
+    result_nodes, result_scores = np.full((q, size), -1, np.int64), np.full((q, size), -np.inf, np.float32)
+    while True:
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :size]
+        nodes, scores, done = (np.take_along_axis(x, best, 1) for x in (nodes, scores, done))
+        open_ = ~done.all(axis=1)
+        for part in np.flatnonzero(~open_):
+            result_nodes[active[part], :nodes.shape[1]], result_scores[active[part], :nodes.shape[1]] = nodes[part], scores[part]
+        if not open_.any():
+            return result_nodes, result_scores
+        if not open_.all():
+            nodes, scores, done, seen, asked, active = (x[open_] for x in (nodes, scores, done, seen, asked, active))
+            row = np.arange(len(active))[:, None]
+        turn = np.argsort(done, axis=1, kind="stable")[:, :EXPAND]  # best unexpanded ones
+        use = ~np.take_along_axis(done, turn, 1)
+        np.put_along_axis(done, turn, True, 1)
+        at = np.take_along_axis(nodes, turn, 1)
+        found = np.where(use[:, :, None], adjacent[at], -1).reshape(len(active), -1)
+        found[found < 0] = n
+        new = score(found)
+        nodes, scores = np.concatenate((nodes, found), axis=1), np.concatenate((scores, new), axis=1)
+        done = np.concatenate((done, np.isneginf(new)), axis=1)
+
+
+def _search(width: int, k: int, size: int):
+    """One cell: the k nearest nodes found in a shard for every query of a block."""
+
+    def search(queries: pa.Table, shard: pa.Table) -> pa.Table:
+        if not queries.num_rows or not shard.num_rows:
+            return _FOUND.empty_table()
+        shard = shard.sort_by("node")
+        node, ids = shard["node"].to_numpy(), shard["vec_id"].to_numpy()
+        exact = from_bytes(shard["v"], np.float64, width)
+        lists = shard["near"].combine_chunks()
+        lengths = np.diff(lists.offsets.to_numpy())
+        adjacent = np.full((len(node), max(1, lengths.max(initial=0))), -1, np.int64)
+        adjacent[np.arange(adjacent.shape[1]) < lengths[:, None]] = np.searchsorted(node, lists.flatten().to_numpy())
+        q, asked = queries["q"].to_numpy(), from_bytes(queries["x"], np.float64, width)
+        own = np.searchsorted(node, q)
+        own = np.where((own < len(node)) & (node[np.minimum(own, len(node) - 1)] == q), own, -1)
+        at, _ = _beam(adjacent, exact.astype(np.float32), asked.astype(np.float32), own, max(size, 2 * k))
+        at = at[:, :2 * k]  # a margin over k: single precision may swap near ties
+        scores = np.where(at >= 0, (asked[:, None, :] * exact[at]).sum(axis=2), -np.inf)
+        order = np.lexsort((node[at], ids[at], -scores), axis=1)[:, :k]
+        at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)
+        keep = ~np.isneginf(scores)
+        pick = np.broadcast_to(np.arange(len(q))[:, None], at.shape)[keep]
+        return pa.Table.from_arrays([pa.array(q[pick]), queries["query_id"].take(pa.array(pick)).combine_chunks(),
+                                     pa.array(node[at[keep]]), pa.array(ids[at[keep]]), pa.array(scores[keep])], schema=_FOUND)
+
+    return search
+
+
+_FOUND = pa.schema([(c, pa.int64()) for c in ("q", "query_id", "node", "vec_id")] + [("s", pa.float64())])
+
+
+def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, k: int, size: int = LIST) -> DataFrame:
+    """(q, query_id, node, vec_id, s): up to k nodes per query and shard.
+
+    ``nodes``: node, shard, vec_id, v (float64 bytes); ``queries``: q, query_id,
+    x (the same; a q that is a node begins at its neighbours and never finds
+    itself).  A node is entered through its neighbours and through up to as
+    many nodes that name it as neighbour."""
+    named = Window.partitionBy("b").orderBy(F.desc("s"), "a")
+    back = graph.withColumn("p", F.row_number().over(named)).filter(F.col("p") <= NEIGHBOURS)
+    near = (graph.select("a", "b").unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            .groupBy("a").agg(F.collect_set("b").alias("near")))  # at most two lists of bounded length
+    held = nodes.join(near, nodes["node"] == near["a"], "left").select(
+        "shard", "node", "vec_id", "v", F.coalesce("near", F.array().cast("array<long>")).alias("near"))
+    held = materialize(held, "ann-index")
+    shards = (nodes.agg(F.max("shard")).first()[0] or 0) + 1
+    blocks = -(-queries.count() // QUERIES) or 1
+    asked = queries.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks))).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(
+        _search(width, k, size), "q long, query_id long, node long, vec_id long, s double")
 
 
 def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -211,12 +282,12 @@ def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedd
         F.transform(F.col(embedding), lambda x: x.cast("double")).alias("e"))
     width = max(1, dimension(used, "e"))
     stored = used.mapInArrow(_binary(width), "vec_id long, asks boolean, v binary, h binary")
-    nodes = materialize(stored.withColumn("node", F.monotonically_increasing_id()), "ann-nodes")
+    nodes = materialize(stored.withColumn("node", F.monotonically_increasing_id()), "ann-rows")
+    shards = max(1, math.ceil(nodes.count() / SHARD))
+    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("long"))
     graph = build_graph(nodes, width, max(k, NEIGHBOURS))
     queries = nodes.filter("asks").select(F.col("node").alias("q"), F.col("v").alias("x"), F.col("vec_id").alias("query_id"))
-    entries = graph.join(queries, graph["a"] == queries["q"]).select("q", F.col("b").alias("node"))
-    found = greedy_search(graph, nodes, queries, entries, width, max(k, NEIGHBOURS))
-    named = found.join(nodes.select("node", "vec_id"), "node").join(queries.select("q", "query_id"), "q")
+    found = greedy_search(graph, nodes, queries, width, k)
     order = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id", "node")
-    return named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", F.col("s").alias("score"))
