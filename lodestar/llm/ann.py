@@ -226,8 +226,8 @@ def _search(width: int, k: int, size: int):
         q, asked = queries["q"].to_numpy(), from_bytes(queries["x"], np.float64, width)
         own = np.searchsorted(node, q)
         own = np.where((own < len(node)) & (node[np.minimum(own, len(node) - 1)] == q), own, -1)
-        at, _ = _beam(adjacent, exact.astype(np.float32), asked.astype(np.float32), own, max(size, 2 * k))
-        at = at[:, :2 * k]  # a margin over k: single precision may swap near ties
+        at, near = _beam(adjacent, exact.astype(np.float32), asked.astype(np.float32), own, max(size, 2 * k))
+        at = np.where(np.isneginf(near), -1, at)[:, :2 * k]  # a margin over k: single precision may swap near ties
         scores = np.where(at >= 0, (asked[:, None, :] * exact[at]).sum(axis=2), -np.inf)
         order = np.lexsort((node[at], ids[at], -scores), axis=1)[:, :k]
         at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)

@@ -50,7 +50,7 @@ class Mapping:
 
     def fingerprints(self) -> list[str]:
         extras = chain.from_iterable(combinations(self.optional, n) for n in range(len(self.optional) + 1))
-        return [fingerprint_of(self.required + e) for e in extras]
+        return [fingerprint_of(self.required + e) for e in extras if self.required + e]
 
 
 def fingerprint_of(paths: tuple[str, ...]) -> str:
@@ -59,7 +59,7 @@ def fingerprint_of(paths: tuple[str, ...]) -> str:
 
 
 MAPPINGS = (
-    Mapping("turn_row", ("turn",), ("role", "text"), "array(struct(role, text))"),
+    Mapping("turn_row", (), ("turn", "role", "text"), "array(struct(role, text))"),
     Mapping("messages", ("messages[].role",), ("messages[].content",),
             "transform(messages, m -> struct(m.role AS role, m.content AS text))"),
     Mapping("conversations", ("conversations[].from",), ("conversations[].value",),

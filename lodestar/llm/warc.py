@@ -42,13 +42,23 @@ def chunk_rows(pages: DataFrame, record_key: str, payload: str, uri: str, chunk_
                least: int = REVISIT_LEAST) -> DataFrame:
     """The chunked record table of a table of payloads (string or binary column).
 
-    Chunk -1 is a record's head: type, digest, size, first holder of the same
-    payload.  Chunks 0.. carry the bytes."""
+    Chunk -1 is a record's head: digest, size, first holder of the same
+    payload.  Chunks 0.. carry the bytes.  The table is written once, so record
+    numbers cannot change between its uses, whatever the input is."""
+    spark = pages.sparkSession
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(record_key).cast("string").alias("key"),
                         F.col(record_key).alias("rank"), F.col(uri).cast("string").alias("uri"), body.alias("body"))
-    heads = materialize(rows.select("row", "key", "rank", "uri", F.octet_length("body").cast("long").alias("size"),
-                                    F.sha2("body", 256).alias("digest")), "warc-heads")
+    last = F.greatest(F.ceil(F.octet_length("body") / chunk_bytes) - 1, F.lit(0)).cast("int")
+    only = lambda c: F.when(F.col("chunk_no") == 0, c)  # noqa: E731  facts about the record stand on its first chunk
+    chunks = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no")).select(
+        "row", "chunk_no", *[only(F.col(c)).alias(c) for c in ("key", "rank", "uri")],
+        only(F.sha2("body", 256)).alias("digest"), only(F.octet_length("body").cast("long")).alias("size"),
+        F.substring("body", F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"))
+    path = scratch_path(spark, "warc-chunks")
+    chunks.write.option("compression", "zstd").parquet(path)
+    chunks = spark.read.parquet(path)
+    heads = chunks.filter("chunk_no = 0").drop("data", "chunk_no")
     first = F.struct(F.col("rank").isNull().alias("last"), "rank", "row", "key")
     owners = (heads.filter(F.col("size") >= least).groupBy("digest")
               .agg(F.min(first).alias("first"), F.count("row").alias("n")).filter("n > 1")
@@ -58,12 +68,7 @@ def chunk_rows(pages: DataFrame, record_key: str, payload: str, uri: str, chunk_
         "row", F.lit(-1).alias("chunk_no"), "key", "uri", "digest", "size",
         F.when(again, F.col("owner")).alias("owner"), F.when(again, F.col("owner_key")).alias("owner_key"),
         F.lit(None).cast("binary").alias("data"))
-    last = F.greatest(F.ceil(F.octet_length("body") / chunk_bytes) - 1, F.lit(0)).cast("int")
-    chunks = rows.select("row", "body", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no")).select(
-        "row", "chunk_no", *[F.lit(None).cast(t).alias(c) for c, t in
-                             (("key", "string"), ("uri", "string"), ("digest", "string"), ("size", "long"), ("owner", "long"), ("owner_key", "string"))],
-        F.substring("body", F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"))
-    return heads.unionByName(chunks)
+    return heads.unionByName(chunks.select("row", "chunk_no", "data"), allowMissingColumns=True)
 
 
 def _headers(fields: list[tuple[str, str | None]]) -> bytes:
@@ -200,7 +205,8 @@ def read_records(stream, chunk_bytes: int, with_data: bool) -> Iterator[dict]:
         left, digest, done, number = int(head["Content-Length"]) - len(http) - len(_END), hashlib.sha256(), 0, 0
         revisit = head["WARC-Type"] == "revisit"
         size = int(_fields(http)["Content-Length"])
-        key, refers = head.get("X-Record-Key"), head.get("X-Refers-To-Key")
+        key, uri, refers = (None if (v := head.get(h)) is None else unquote(v)
+                            for h in ("X-Record-Key", "WARC-Target-URI", "X-Refers-To-Key"))
         while True:
             data = source.take(min(left, chunk_bytes))
             digest.update(data)
@@ -209,9 +215,8 @@ def read_records(stream, chunk_bytes: int, with_data: bool) -> Iterator[dict]:
             if not left and not revisit and (so_far != declared or done != size):
                 raise ValueError(f"record {key}: payload does not match its digest")
             yield {
-                "record_key": None if key is None else unquote(key), "record_id": head["WARC-Record-ID"][1:-1],
-                "record_type": head["WARC-Type"], "target_uri": unquote(u) if (u := head.get("WARC-Target-URI")) else None,
-                "refers_to": None if refers is None else unquote(refers), "chunk_no": number, "n_bytes": len(data),
+                "record_key": key, "record_id": head["WARC-Record-ID"][1:-1], "record_type": head["WARC-Type"],
+                "target_uri": uri, "refers_to": refers, "chunk_no": number, "n_bytes": len(data),
                 "data": data if with_data else None, "total_bytes": size if revisit else done,
                 "digest": declared if revisit else so_far, "is_last": not left}
             number += 1
