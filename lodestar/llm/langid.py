@@ -200,9 +200,12 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarra
 
 
 def _label(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict]]]:
+    if not model.languages:  # nothing was learned
+        yield from (("und", 0.0, []) for _ in texts)
+        return
     parts = [_emissions(model, t or "") for t in texts]
     for (starts, ends, scores, known), label in zip(parts, viterbi([p[2] for p in parts])):
-        if not len(starts) or not model.languages:
+        if not len(starts):
             yield "und", 0.0, []
             continue
         letters = np.where(known, ends - starts, 0)
