@@ -6,10 +6,12 @@ by one step, so the Manhattan distance of two vectors is a lower bound of the
 Hamming distance of the fingerprints: pairs beyond the limit in the grid can
 never be links.
 
-Grid: the segments are dealt into ``distance + 3`` groups.  Two vectors within
-Manhattan distance ``distance`` differ in at most that many groups, so they
-agree exactly on at least three groups.  A grid cell is (choice of three
-groups, their bit counts); every possible link shares a cell.
+Grid: the segments are dealt into ``distance + AGREE`` groups.  Two vectors
+within Manhattan distance ``distance`` differ in at most that many groups, so
+they agree exactly on at least ``AGREE`` groups.  A grid cell is (choice of
+``AGREE`` groups, their bit counts); every possible link shares a cell.  More
+groups make finer cells and more of them per fingerprint: the result is the
+same, so ``AGREE`` may be raised for corpora of many million documents.
 
 Inside a cell the pairs are never all produced:
 
@@ -33,13 +35,14 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import materialize, ship
 from lodestar.llm.graph import connected_components
 
 SEGMENTS = 32
+AGREE = 5  # groups on which linked vectors surely agree
 _LOW = 0x5555555555555555  # lower bit of every two-bit segment
 _BLOCK = 200_000  # shingles hashed at once: bounds memory for very long texts
 
@@ -94,12 +97,12 @@ def embedding(fp: Column) -> Column:
 
 
 def _cell_masks(distance: int) -> list[int]:
-    groups = distance + 3
-    if not 1 <= groups <= SEGMENTS:
-        raise ValueError(f"distance must be between 0 and {SEGMENTS - 3}")
+    groups = distance + AGREE
+    if not AGREE <= groups <= SEGMENTS:
+        raise ValueError(f"distance must be between 0 and {SEGMENTS - AGREE}")
     bounds = [round(i * SEGMENTS / groups) for i in range(groups + 1)]
     masks = [sum(3 << (2 * s) for s in range(lo, hi)) for lo, hi in zip(bounds, bounds[1:])]
-    chosen = [reduce(int.__or__, c) for c in combinations(masks, groups - distance)]
+    chosen = [reduce(int.__or__, c) for c in combinations(masks, AGREE)]
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
@@ -108,25 +111,26 @@ def _hamming(x: str, y: str) -> Column:
 
 
 def _cells(nodes: DataFrame, distance: int) -> DataFrame:
-    """One row per (fingerprint, grid cell)."""
-    cell = F.array(*[F.struct(F.lit(i).alias("grid"), F.col("at").bitwiseAND(F.lit(m)).alias("cell"))
-                     for i, m in enumerate(_cell_masks(distance))])
-    return nodes.withColumn("at", embedding(F.col("fp"))).select("*", F.inline(cell))
+    """One row per (fingerprint, grid cell); cells are named by a hash, and two
+    cells that should share a name only share more candidates."""
+    cell = F.array(*[F.xxhash64(F.lit(i), F.col("at").bitwiseAND(F.lit(m))) for i, m in enumerate(_cell_masks(distance))])
+    return nodes.withColumn("at", embedding(F.col("fp"))).select("fp", F.explode(cell).alias("cell"))
 
 
 def link_components(fingerprints: DataFrame, distance: int = 4) -> DataFrame:
     """(fp, root) for every distinct ``fp``: root names its connected component
     under "at most ``distance`` differing bits" (the smallest fp in it)."""
+    tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nodes = materialize(fingerprints.select("fp").distinct(), "simhash-nodes")
-    key = ["grid", "cell"]
-
-    # cells with at least two members, each with its pivots
-    members = _cells(nodes, distance)
-    pivots = (members.groupBy(*key)
-              .agg(F.min("fp").alias("p1"), F.max("fp").alias("p2"),
-                   F.min(F.struct(F.xxhash64("fp", "cell"), "fp")).getField("fp").alias("p3"))
-              .filter("p1 <> p2"))
-    shared = materialize(members.select(*key, "fp").join(pivots, key), "simhash-cells")
+    key = ["cell"]
+
+    # Cells with at least two members, each with its pivots.  A fingerprint is in one cell of every
+    # grid, so even a group that holds a third of them is a small share of the rows of any one cell.
+    members = _cells(nodes.repartition(tasks), distance)  # few bytes, but a row becomes one per grid
+    cell = Window.partitionBy("cell")
+    shared = materialize(members.select(
+        "cell", "fp", F.min("fp").over(cell).alias("p1"), F.max("fp").over(cell).alias("p2"),
+        F.min_by("fp", F.xxhash64("fp", "cell")).over(cell).alias("p3")).filter("p1 <> p2"), "simhash-cells")
     pivot = F.explode(F.array_distinct(F.array("p1", "p2", "p3")))
     near = (shared.select("fp", pivot.alias("q"))
             .filter((F.col("fp") != F.col("q")) & (_hamming("fp", "q") <= distance)))
