@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import WINDOW_LENGTH, WINDOW_SLIDE
 from lodestar.plans.registry import query
-from lodestar.session import ensure_utc, scratch_path
+from lodestar.session import scratch_path
 from lodestar.sources.tables import load
 from lodestar.streaming import queries as sq
-from lodestar.streaming.replay import file_stream, write_replay
+from lodestar.streaming.replay import key_slice, range_slice, replay
 
-REPLAY_FILES = 4
+SLICES = 4  # micro-batches of a replay; each is written and read by many tasks
 
 _WORDS_SQL = """
 SELECT word, count(*) AS n
@@ -20,28 +20,30 @@ WHERE word <> '' GROUP BY word
 """
 
 
-def _conversation_stream(spark, sf_dir):
+def _replay_conversations(spark, sf_dir, step):
     conv = load(spark, sf_dir, "conversations", "conv_id", "turn", "text")
-    path = write_replay(conv, "conv_id", REPLAY_FILES)
-    return file_stream(spark, path, conv.schema)
+    replay(conv, key_slice("conv_id", SLICES), SLICES, step)
 
 
-@query("stream_word_count", sql=_WORDS_SQL,
-       note="T1: stateless per-batch counts; the sum over batches equals the batch word count")
+@query("stream_word_count", sql=f"""
+SELECT slice, word, count(*) AS n
+FROM (SELECT (conv_id % {SLICES} + {SLICES}) % {SLICES} AS slice, unnest(string_split(text, ' ')) AS word FROM conversations)
+WHERE word <> '' GROUP BY slice, word
+""",
+       note="T1: stateless counts of every micro-batch on its own; batch n is slice n of the replay")
 def stream_word_count(spark, sf_dir):
-    stream = _conversation_stream(spark, sf_dir)
-    sink = scratch_path(spark, "sink-words")
-    sq.run_per_batch(stream, lambda b: sq.count_words(sq.words(b, "text")), sink)
-    per_batch = spark.read.parquet(sink)
-    return per_batch.groupBy("word").agg(F.sum("n").alias("n"))
+    sink, checkpoint = scratch_path(spark, "sink-words"), scratch_path(spark, "ckpt")
+    _replay_conversations(spark, sf_dir, lambda stream: sq.run_per_batch(
+        stream, lambda b: sq.count_words(sq.words(b, "text")), sink, checkpoint))
+    return spark.read.parquet(sink).select(F.col("batch_id").cast("long").alias("slice"), "word", "n")
 
 
 @query("stream_running_word_count", sql=_WORDS_SQL,
        note="stateful running count in update mode; the last update per word is its total")
 def stream_running_word_count(spark, sf_dir):
-    stream = _conversation_stream(spark, sf_dir)
-    sink = scratch_path(spark, "sink-running")
-    sq.run_aggregate(sq.count_words(sq.words(stream, "text")), sink, mode="update")
+    sink, checkpoint = scratch_path(spark, "sink-running"), scratch_path(spark, "ckpt")
+    _replay_conversations(spark, sf_dir, lambda stream: sq.run_aggregate(
+        sq.count_words(sq.words(stream, "text")), sink, "update", checkpoint))
     return sq.read_latest(spark, sink, ["word"], ["n"])
 
 
@@ -61,32 +63,26 @@ FROM w GROUP BY ALL
 """
 
 
+def _replay_events(spark, sf_dir, step):
+    events = load(spark, sf_dir, "events", "event_id", "ts", "event_type")
+    replay(events, range_slice(events, "ts", SLICES), SLICES, step)
+
+
 @query("stream_sliding_count", sql=_SLIDING_SQL,
        note="T2: event-time sliding windows, complete mode (all windows kept)")
 def stream_sliding_count(spark, sf_dir):
-    ensure_utc(spark)
-    events = load(spark, sf_dir, "events", "event_id", "ts", "event_type")
-    path = write_replay(events, "ts", REPLAY_FILES)
-    stream = file_stream(spark, path, events.schema)
-    # Complete mode keeps every window, so no watermark is needed and file
-    # order does not matter; state is one row per (window, event type).
-    agg = sq.sliding_counts(stream, "ts", "event_type", WINDOW, SLIDE)
-    sink = scratch_path(spark, "sink-windows")
-    sq.run_aggregate(agg, sink, mode="complete")
+    # Complete mode keeps every window: state is one row per (window, event type).
+    sink, checkpoint = scratch_path(spark, "sink-windows"), scratch_path(spark, "ckpt")
+    _replay_events(spark, sf_dir, lambda stream: sq.run_aggregate(
+        sq.sliding_counts(stream, "ts", "event_type", WINDOW, SLIDE), sink, "complete", checkpoint))
     return sq.flatten_windows(sq.read_complete(spark, sink))
 
 
 @query("stream_sliding_count_update", sql=_SLIDING_SQL,
        note="T2 with watermark-evicted state: update mode, last update per window")
 def stream_sliding_count_update(spark, sf_dir):
-    ensure_utc(spark)
-    events = load(spark, sf_dir, "events", "event_id", "ts", "event_type")
-    # The watermark drops rows older than (max seen - 1 hour), so the replay
-    # must publish its slices in event-time order.
-    path = write_replay(events, "ts", REPLAY_FILES, ordered=True)
-    stream = file_stream(spark, path, events.schema)
-    agg = sq.sliding_counts(stream, "ts", "event_type", WINDOW, SLIDE, watermark="1 hour")
-    sink = scratch_path(spark, "sink-windows-upd")
-    sq.run_aggregate(agg, sink, mode="update")
-    latest = sq.read_latest(spark, sink, ["w", "event_type"], ["n"])
-    return sq.flatten_windows(latest)
+    # The watermark drops rows older than (newest seen - 1 hour); slices come in event-time order.
+    sink, checkpoint = scratch_path(spark, "sink-windows-upd"), scratch_path(spark, "ckpt")
+    _replay_events(spark, sf_dir, lambda stream: sq.run_aggregate(
+        sq.sliding_counts(stream, "ts", "event_type", WINDOW, SLIDE, watermark="1 hour"), sink, "update", checkpoint))
+    return sq.flatten_windows(sq.read_latest(spark, sink, ["w", "event_type"], ["n"]))

@@ -9,8 +9,9 @@ Sinks are tables under the shared checkpoint folder, written from
 * ``update``: only the keys changed by a batch are appended, tagged with the
   batch id; ``read_latest`` gives the last value per key.  State is the running
   aggregate, evicted by the watermark when there is one.
-* ``complete``: the whole result table replaces the sink each batch; use it
-  when the number of result keys is small (windows x types).
+* ``complete``: each batch writes the whole result table under its batch id and
+  the newest is read, so a failed write never takes away the last result; use
+  it when the number of result keys is small (windows x types).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.scalar import split_words
 from lodestar.session import scratch_path
@@ -37,9 +39,10 @@ def sliding_counts(stream: DataFrame, ts: str, key: str, window: str, slide: str
                    watermark: str | None = None) -> DataFrame:
     """Counts per (window, key) over event time.
 
-    ``ts`` may be a zone-less timestamp; it is read as UTC event time.
+    A zone-less ``ts`` is read as UTC, whatever the session's time zone is.
     """
-    event_time = F.col(ts).cast("timestamp")
+    zoneless = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    event_time = F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp") if zoneless else F.col(ts).cast("timestamp")
     df = stream.withColumn("_event_time", event_time)
     if watermark:
         df = df.withWatermark("_event_time", watermark)
@@ -49,22 +52,23 @@ def sliding_counts(stream: DataFrame, ts: str, key: str, window: str, slide: str
 
 
 def flatten_windows(df: DataFrame) -> DataFrame:
-    """Window struct to plain zone-less start/end columns."""
+    """Window struct to plain zone-less start/end columns, in UTC."""
+    def utc(c: str):
+        seconds = (F.unix_micros(c) / F.lit(1_000_000)).cast("decimal(18,6)")
+        return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
     others = [c for c in df.columns if c != "w"]
-    return df.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        *others,
-    )
+    return df.select(utc("w.start").alias("window_start"), utc("w.end").alias("window_end"), *others)
 
 
-def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s: float,
+def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s: float | None,
          trigger_seconds: float | None):
     """Start the query and return once all available input is processed.
 
     With ``trigger_seconds`` the query runs on a processing-time trigger (the
     reference's 3 s batches) until the input present now is consumed, then
-    stops; without it, ``availableNow`` processes everything and ends.
+    stops; without it, ``availableNow`` processes everything and ends.  There
+    is no time limit unless the caller asks for one.
     """
     writer = stream_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint) \
         .foreachBatch(writer_fn)
@@ -75,8 +79,8 @@ def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s:
     query = writer.start()
     try:
         if trigger_seconds is None:
-            finished = query.awaitTermination(timeout_s)
-            if not finished:
+            finished = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+            if timeout_s is not None and not finished:
                 raise TimeoutError(f"streaming query did not finish within {timeout_s}s")
         else:
             query.processAllAvailable()
@@ -89,7 +93,7 @@ def _run(writer_fn, stream_df: DataFrame, mode: str, checkpoint: str, timeout_s:
 
 
 def run_per_batch(stream_df: DataFrame, per_batch, sink: str, checkpoint: str | None = None,
-                  timeout_s: float = 600, trigger_seconds: float | None = None) -> str:
+                  timeout_s: float | None = None, trigger_seconds: float | None = None) -> str:
     """Apply ``per_batch(df) -> df`` to each micro-batch on its own (T1, stateless)."""
     checkpoint = checkpoint or scratch_path(stream_df.sparkSession, "ckpt")
 
@@ -101,7 +105,7 @@ def run_per_batch(stream_df: DataFrame, per_batch, sink: str, checkpoint: str |
 
 
 def run_aggregate(agg_df: DataFrame, sink: str, mode: str = "update", checkpoint: str | None = None,
-                  timeout_s: float = 600, trigger_seconds: float | None = None) -> str:
+                  timeout_s: float | None = None, trigger_seconds: float | None = None) -> str:
     """Run a streaming aggregation to a table sink in ``update`` or ``complete`` mode."""
     if mode not in ("update", "complete"):
         raise ValueError(mode)
@@ -109,7 +113,7 @@ def run_aggregate(agg_df: DataFrame, sink: str, mode: str = "update", checkpoint
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if mode == "complete":
-            batch.write.mode("overwrite").parquet(f"{sink}/complete")
+            batch.write.mode("overwrite").parquet(f"{sink}/complete/batch_id={batch_id}")
         else:
             batch.write.mode("overwrite").parquet(f"{sink}/updates/batch_id={batch_id}")
 
@@ -118,7 +122,9 @@ def run_aggregate(agg_df: DataFrame, sink: str, mode: str = "update", checkpoint
 
 
 def read_complete(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(f"{sink}/complete")
+    results = spark.read.parquet(f"{sink}/complete")
+    newest = results.agg(F.max("batch_id")).scalar()  # partition values only
+    return results.filter(F.col("batch_id") == newest).drop("batch_id")
 
 
 def read_latest(spark: SparkSession, sink: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

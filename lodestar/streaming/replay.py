@@ -1,46 +1,54 @@
 """Replay a table as a stream of files.
 
-The reference fed a socket; here a table is written as ``n_files`` parquet
-slices, range-partitioned on an ordering column, and read back with the file
-stream source at ``max_files_per_trigger`` files per micro-batch.  The files
-live under the shared checkpoint folder so a restarted query can read them
-again.
-
-The file source takes files oldest first.  Slices written by one job finish
-in any order, so when event-time order matters (a watermark that drops late
-rows) ``ordered=True`` stages the slices once and then publishes them one
-after another, each in its own small job that reads only its slice.
+The reference fed a socket; here a table is published in slices to a landing
+folder, and after each slice the streaming query runs until it has read it.
+The order of slices is that of an explicit slice number, not of file times.
+Every slice is written by as many tasks as the scan has splits: rows are
+neither shuffled nor sorted, so neither the table's size nor a hot key matters.
+The files live under the shared checkpoint folder so a restarted query can
+read them again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.session import scratch_path
 
 
-def write_replay(df: DataFrame, order_by: str, n_files: int, path: str | None = None,
-                 ordered: bool = False) -> str:
+def key_slice(key: str, slices: int) -> Column:
+    """Slice number by key arithmetic (null keys: slice 0)."""
+    return F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(slices))
+
+
+def range_slice(df: DataFrame, column: str, slices: int) -> Column:
+    """Slice number by equal ranges of a timestamp column (nulls: slice 0)."""
+    micros = F.unix_micros(F.col(column).cast("timestamp"))  # only differences matter: any session zone will do
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return F.lit(0)
+    width = (high - low) // slices + 1
+    return F.coalesce(((micros - F.lit(low)) / F.lit(width)).cast("int"), F.lit(0))
+
+
+def replay(df: DataFrame, number: Column, slices: int, step: Callable[[DataFrame], object], path: str | None = None) -> str:
+    """Publish ``df`` slice by slice (0, 1, ...); ``step(stream)`` is called after each
+    and must run its query with one checkpoint until the input is read."""
     spark = df.sparkSession
-    path = path or scratch_path(spark, "replay")
-    ranged = df.repartitionByRange(n_files, order_by).sortWithinPartitions(order_by)
-    if not ordered:
-        ranged.write.mode("overwrite").parquet(path)
-        return path
-    staging = scratch_path(spark, "replay-staging")
-    ranged.withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(staging)
-    staged = spark.read.parquet(staging)
-    slices = [r[0] for r in staged.select("_slice").distinct().orderBy("_slice").collect()]
-    for s in slices:  # at most n_files small jobs, in event-time order
-        (staged.filter(F.col("_slice") == s).drop("_slice")
-         .coalesce(1).sortWithinPartitions(order_by)
-         .write.mode("append").parquet(path))
+    path = path or scratch_path(spark, "landing")
+    for i in range(slices):
+        df.filter(number == i).write.mode("append").parquet(path)
+        step(file_stream(spark, path, df.schema))
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1,
+def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
-    return (spark.readStream.format(fmt).schema(schema)
-            .option("maxFilesPerTrigger", str(max_files_per_trigger))
-            .load(path))
+    """Files of a folder as a stream; ``max_files_per_trigger`` bounds a micro-batch."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)

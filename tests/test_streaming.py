@@ -6,15 +6,13 @@ from pyspark.sql import functions as F
 
 from lodestar.session import scratch_path
 from lodestar.streaming import queries as sq
-from lodestar.streaming.replay import file_stream, write_replay
+from lodestar.streaming.replay import file_stream, key_slice, range_slice, replay
 
 
 def test_per_batch_preview_and_counts(spark):
     lines = spark.createDataFrame([(i, f"w{i % 3} x") for i in range(30)], "id int, text string")
-    path = write_replay(lines, "id", 3)
-    stream = file_stream(spark, path, lines.schema)
-    sink = scratch_path(spark, "t-preview")
-    sq.run_per_batch(stream, sq.batch_preview(10), sink)
+    sink, checkpoint = scratch_path(spark, "t-preview"), scratch_path(spark, "t-ckpt")
+    replay(lines, key_slice("id", 3), 3, lambda s: sq.run_per_batch(s, sq.batch_preview(10), sink, checkpoint))
     out = spark.read.parquet(sink)
     assert out.select("batch_id").distinct().count() == 3
     assert out.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 10
@@ -24,15 +22,16 @@ def test_window_counts_late_row_and_empty_batch(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [(i, base + dt.timedelta(minutes=i), "a") for i in range(0, 120, 2)]
     events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string")
-    path = scratch_path(spark, "t-late")
-    write_replay(events, "ts", 2, path=path, ordered=True)
+    path, sink, checkpoint = (scratch_path(spark, n) for n in ("t-late", "t-late-sink", "t-late-ckpt"))
+
+    def step(stream):
+        agg = sq.sliding_counts(stream, "ts", "event_type", "15 minutes", "3 minutes", watermark="10 minutes")
+        sq.run_aggregate(agg, sink, "update", checkpoint)
+
+    replay(events, range_slice(events, "ts", 2), 2, step, path)
     # a late row (two hours behind the newest event) arrives last
-    late = spark.createDataFrame([(999, base, "a")], events.schema)
-    late.write.mode("append").parquet(path)
-    stream = file_stream(spark, path, events.schema)
-    agg = sq.sliding_counts(stream, "ts", "event_type", "15 minutes", "3 minutes", watermark="10 minutes")
-    sink = scratch_path(spark, "t-late-sink")
-    sq.run_aggregate(agg, sink, mode="update")
+    spark.createDataFrame([(999, base, "a")], events.schema).write.mode("append").parquet(path)
+    step(file_stream(spark, path, events.schema))
     got = sq.flatten_windows(sq.read_latest(spark, sink, ["w", "event_type"], ["n"]))
     # the late row's windows were already final: it must not change them
     first = got.filter(F.col("window_start") == F.lit(base)).first()["n"]
@@ -47,8 +46,9 @@ def test_window_counts_late_row_and_empty_batch(spark):
 
 def test_processing_time_trigger_start_stop(spark):
     lines = spark.createDataFrame([(i, "a b a") for i in range(12)], "id int, text string")
-    path = write_replay(lines, "id", 2)
-    stream = file_stream(spark, path, lines.schema)
+    path = scratch_path(spark, "t-landing")
+    lines.repartition(2).write.parquet(path)
+    stream = file_stream(spark, path, lines.schema, max_files_per_trigger=1)
     sink = scratch_path(spark, "t-trigger")
     sq.run_aggregate(sq.count_words(sq.words(stream, "text")), sink, mode="update", trigger_seconds=1)
     got = dict((r["word"], r["n"]) for r in sq.read_latest(spark, sink, ["word"], ["n"]).collect())
@@ -58,9 +58,9 @@ def test_processing_time_trigger_start_stop(spark):
 
 def test_stream_equals_batch_on_same_rows(spark):
     lines = spark.createDataFrame([(i, f"w{i % 5} w{i % 7}  x") for i in range(200)], "id int, text string")
-    path = write_replay(lines, "id", 4)
-    sink = scratch_path(spark, "t-eq")
-    sq.run_per_batch(file_stream(spark, path, lines.schema), lambda b: sq.count_words(sq.words(b, "text")), sink)
+    sink, checkpoint = scratch_path(spark, "t-eq"), scratch_path(spark, "t-eq-ckpt")
+    replay(lines, key_slice("id", 4), 4, lambda s: sq.run_per_batch(
+        s, lambda b: sq.count_words(sq.words(b, "text")), sink, checkpoint))
     streamed = spark.read.parquet(sink).groupBy("word").agg(F.sum("n").alias("n"))
     batch = sq.count_words(sq.words(lines, "text"))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
@@ -72,7 +72,7 @@ def test_each_micro_batch_counts_only_its_own_rows(spark):
     lines = spark.createDataFrame(rows, "id int, slice int, text string")
     path = scratch_path(spark, "t-slices")
     lines.repartition(4, "slice").write.partitionBy("slice").parquet(path)
-    stream = file_stream(spark, path, lines.schema)
+    stream = file_stream(spark, path, lines.schema, max_files_per_trigger=1)
     sink = scratch_path(spark, "t-slices-sink")
 
     def per_batch(batch):
@@ -87,3 +87,39 @@ def test_each_micro_batch_counts_only_its_own_rows(spark):
     streamed = sorted((r["slice"], r["word"], r["count"]) for r in out.collect())
     batch = lines.select("slice", F.explode(F.split("text", " ")).alias("word")).groupBy("slice", "word").count()
     assert streamed == sorted((r["slice"], r["word"], r["count"]) for r in batch.collect())
+
+
+def test_no_time_limit_unless_asked(spark):
+    import inspect
+
+    assert all(inspect.signature(f).parameters["timeout_s"].default is None for f in (sq.run_per_batch, sq.run_aggregate))
+
+
+def test_replay_slices_cover_every_row_once(spark):
+    rows = [(i, None if i == 5 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(-20, 20)] + [(None, dt.datetime(2024, 1, 1))] * 3
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    for number in (key_slice("id", 4), range_slice(df, "ts", 4)):
+        counts = {r[0]: r[1] for r in df.groupBy(number).count().collect()}
+        assert set(counts) == {0, 1, 2, 3} and sum(counts.values()) == len(rows)
+
+
+def test_complete_mode_keeps_the_last_result_until_the_next_is_whole(spark):
+    path, sink, checkpoint = (scratch_path(spark, n) for n in ("t-c", "t-c-sink", "t-c-ckpt"))
+    words = spark.createDataFrame([(i, "a b") for i in range(6)], "id int, text string")
+    replay(words, key_slice("id", 3), 3, lambda s: sq.run_aggregate(sq.count_words(sq.words(s, "text")), sink, "complete", checkpoint), path)
+    assert spark.read.parquet(f"{sink}/complete").select("batch_id").distinct().count() == 3
+    assert {tuple(r) for r in sq.read_complete(spark, sink).collect()} == {("a", 6), ("b", 6)}
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark):
+    events = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30), "a")], "ts timestamp_ntz, event_type string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for zone in ("UTC", "Europe/Berlin", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got.append(sorted(map(tuple, sq.flatten_windows(sq.sliding_counts(events, "ts", "event_type", "15 minutes", "3 minutes")).collect())))
+            assert spark.conf.get("spark.sql.session.timeZone") == zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 5
