@@ -17,8 +17,11 @@ from pyspark.ml.feature import HashingTF, IDF, Tokenizer
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import ALS_MAX_ITER, ALS_REG_PARAM, KMEANS_K, KMEANS_SEED
+from lodestar.operators.ordering import dense_row_ids
+from lodestar.session import materialize
 
 
 def _fit_persisted(estimator, df: DataFrame, columns: list[str]):
@@ -49,12 +52,14 @@ def linear_regression(train: DataFrame, features: str = "features", label: str =
 
 def decision_tree(train: DataFrame, features: str = "features", label: str = "label", **params):
     """Classification tree (M11): depth 5, 32 bins, gini by default."""
-    return DecisionTreeClassifier(featuresCol=features, labelCol=label, **params).fit(train)
+    return _fit_persisted(DecisionTreeClassifier(featuresCol=features, labelCol=label, **params), train,
+                          [features, label])
 
 
 def random_forest(train: DataFrame, features: str = "features", label: str = "label", seed: int = 1, **params):
     """Random forest classifier (M13): 20 trees by default."""
-    return RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params).fit(train)
+    return _fit_persisted(RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params), train,
+                          [features, label])
 
 
 def kmeans(df: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED, features: str = "features", **params):
@@ -67,12 +72,32 @@ def kmeans(df: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED, features:
     return _fit_persisted(KMeans(k=k, seed=seed, featuresCol=features, **params), df, [features])
 
 
+INT_MAX = 2**31 - 1
+
+
+def int_ids(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``column`` as the 32-bit id that ALS needs (null rows go).
+
+    Ids that fit are cast; larger or negative ones are replaced by their dense
+    rank, and the old values stay in ``<column>_key``.  More than 2^31 - 1
+    distinct ids cannot be numbered: an error."""
+    df = df.filter(F.col(column).isNotNull())
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    keyed = df.withColumn(f"{column}_key", F.col(column))
+    if low is None or (low >= 0 and high <= INT_MAX):
+        return keyed.withColumn(column, F.col(column).cast("int"))
+    ranked = materialize(dense_row_ids(df.select(column).distinct(), column, id_col="_id", start=0), "als-ids")
+    if ranked.count() > INT_MAX:
+        raise ValueError(f"ALS numbers at most {INT_MAX} ids; {column!r} has more distinct values")
+    return keyed.join(ranked, column).drop(column).withColumnRenamed("_id", column).withColumn(column, F.col(column).cast("int"))
+
+
 def als(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
         max_iter: int = ALS_MAX_ITER, reg_param: float = ALS_REG_PARAM, seed: int = 1, cold_start: str = "nan",
         **params):
     """Alternating least squares recommender.
 
-    Ids must fit in a 32-bit int (an ALS requirement).  ``cold_start='nan'``
+    Ids must fit in a 32-bit int (an ALS requirement; see ``int_ids``).  ``cold_start='nan'``
     (the default, D13) leaves a NaN prediction for users or items not seen in
     training; ``'drop'`` removes such rows from the scored output.
     """

@@ -19,7 +19,7 @@ from lodestar.sources.tables import load
 
 
 def _split_sql(key: str, train_percent: int) -> str:
-    return f"((({key}) % 100003) * 7919 % 100003) % 100 < {train_percent}"
+    return f"((({key}) % 100003 + 100003) % 100003 * 7919 % 100003) % 100 < {train_percent}"
 
 
 @query(
@@ -94,7 +94,7 @@ def linear_regression(spark, sf_dir):
 , s AS (SELECT l_extendedprice AS y, b0 + b1 * l_quantity + b2 * l_discount AS p
         FROM lineitem, coef WHERE NOT ({_split_sql('l_orderkey', LR_TRAIN_PERCENT)}))
 SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-       round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) + 0.0 AS r2,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2,
        count(*) AS n
 FROM s
 """,
@@ -110,12 +110,16 @@ def regression_metrics(spark, sf_dir):
 _KMEANS_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("kmeans_sizes", note="rows-only: cluster ids depend on the seed and partitioning")
-def kmeans_sizes(spark, sf_dir):
-    li = spread(load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *_KMEANS_COLS))
+def _kmeans_rows(spark, sf_dir):
+    # no redistribution here: k-means samples its first centres per partition
+    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *_KMEANS_COLS)
     z = stats.standardize(li, _KMEANS_COLS, keep=("l_orderkey", "l_linenumber"))
-    vec = features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS]).select("features")
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)  # used by the fit and the scoring
+    return features.assemble(z, [f"z_{c}" for c in _KMEANS_COLS]).select("features")
+
+
+@query("kmeans_sizes", note="rows-only: cluster ids depend on the seed and partitioning; see kmeans_facts")
+def kmeans_sizes(spark, sf_dir):
+    vec = _kmeans_rows(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # used by the fit and the scoring
     try:
         model = models.kmeans(vec, k=KMEANS_K, seed=KMEANS_SEED)
         return materialize(group_count(model.transform(vec), "prediction"), "kmeans-sizes")
@@ -123,6 +127,22 @@ def kmeans_sizes(spark, sf_dir):
         vec.unpersist()
 
 
+@query("kmeans_facts", sql=f"SELECT {KMEANS_K} AS clusters, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest FROM lineitem",
+       note="what holds for any seed: k clusters, every row in one, no row nearer to another centre")
+def kmeans_facts(spark, sf_dir):
+    vec = _kmeans_rows(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = models.kmeans(vec, k=KMEANS_K, seed=KMEANS_SEED)
+        x = vector_to_array("features")
+        far = [sum(((x[d] - F.lit(float(v))) ** 2 for d, v in enumerate(c)), F.lit(0.0)) for c in model.clusterCenters()]
+        own = F.element_at(F.array(*far), F.col("prediction") + 1)
+        return materialize(model.transform(vec).agg(
+            F.count_distinct("prediction").cast("int").alias("clusters"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(own > F.array_min(F.array(*far)) + 1e-9).alias("n_not_nearest")), "kmeans-facts")
+    finally:
+        vec.unpersist()
+
+
 def _embedding_split(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     data = emb.select("vec_id", F.col("label").cast("double").alias("label"),
@@ -138,6 +158,45 @@ def decision_tree(spark, sf_dir):
     return model.transform(test).select("vec_id", "label", "prediction")
 
 
+_CHAIN_SQL = f"""
+SELECT count(*) AS n_test, count(DISTINCT vec_id) AS n_keys, CAST(0 AS BIGINT) AS n_unknown, count(*) AS n_matrix, true AS accuracy_agrees
+FROM embeddings WHERE NOT ({_split_sql('vec_id', CLASSIFIER_TRAIN_PERCENT)})
+"""
+
+
+def _chain_facts(spark, sf_dir, fit):
+    """The reference's whole chain: label index -> model -> index back to label ->
+    confusion matrix -> accuracy, reduced to facts that hold for any seed."""
+    train, test = _embedding_split(spark, sf_dir)
+    train, test = (d.withColumn("category", F.concat(F.lit("c"), F.col("label").cast("int").cast("string"))) for d in (train, test))
+    indexed, index = features.index_labels(train.drop("label"), "category", "label")
+    scored = fit(indexed, index.transform(test.drop("label")))
+    named = materialize(features.index_to_string(scored, "prediction", "predicted", index.labels)
+                        .select("vec_id", "category", "predicted"), "chain")
+    matrix = metrics.confusion_matrix(named, "category", "predicted")
+    right = matrix.filter("category = predicted").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    share = metrics.accuracy(named, "category", "predicted").select("accuracy").scalar()
+    known = F.col("predicted").isin(index.labels)
+    return named.agg(
+        F.count("vec_id").alias("n_test"), F.count_distinct("vec_id").alias("n_keys"), F.count_if(~known).alias("n_unknown"),
+    ).select("*", matrix.agg(F.sum("n")).scalar().alias("n_matrix"),
+             (F.abs(right / F.col("n_test") - share) < 1e-12).alias("accuracy_agrees"))
+
+
+@query("decision_tree_facts", sql=_CHAIN_SQL, note="M1 -> M11 -> M2 -> M18 -> M17 end to end")
+def decision_tree_facts(spark, sf_dir):
+    return _chain_facts(spark, sf_dir, lambda train, test: models.decision_tree(train, seed=1).transform(test))
+
+
+@query("random_forest_facts", sql=_CHAIN_SQL, note="M1 -> M4 -> M13 -> M2 -> M18 -> M17 end to end")
+def random_forest_facts(spark, sf_dir):
+    def fit(train, test):
+        pca = features.PCA(k=PCA_K, inputCol="features", outputCol="pca_features").fit(train)
+        return models.random_forest(pca.transform(train), features="pca_features", seed=1).transform(pca.transform(test))
+
+    return _chain_facts(spark, sf_dir, fit)
+
+
 @query("pca_project", note="rows-only: component signs are not unique")
 def pca_project(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -147,6 +206,16 @@ def pca_project(spark, sf_dir):
     return projected.select("vec_id", arr[0].alias("pc1"), arr[1].alias("pc2"), arr[2].alias("pc3"))
 
 
+@query("pca_facts", sql="SELECT count(*) AS n_rows, true AS uncorrelated, true AS falling FROM embeddings",
+       note="what holds whatever the signs: components are uncorrelated and their variances fall")
+def pca_facts(spark, sf_dir):
+    p = pca_project(spark, sf_dir)
+    pairs = [F.abs(F.corr(a, b)) < 1e-6 for a, b in (("pc1", "pc2"), ("pc1", "pc3"), ("pc2", "pc3"))]
+    var = [F.var_pop(c) for c in ("pc1", "pc2", "pc3")]
+    return p.agg(F.count("vec_id").alias("n_rows"), (pairs[0] & pairs[1] & pairs[2]).alias("uncorrelated"),
+                 ((var[0] >= var[1]) & (var[1] >= var[2])).alias("falling"))
+
+
 @query("random_forest", note="rows-only: one prediction per test embedding")
 def random_forest(spark, sf_dir):
     train, test = _embedding_split(spark, sf_dir)
@@ -155,29 +224,57 @@ def random_forest(spark, sf_dir):
     return model.transform(pca_model.transform(test)).select("vec_id", "label", "prediction")
 
 
-@query("als_predict", note="rows-only: ALS factors depend on the random initialisation")
-def als_predict(spark, sf_dir):
+def _scored_ratings(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_quantity")
     orders = load(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     ratings = (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_suppkey").cast("int").alias("item"))
+        .groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
         .agg(F.avg("l_quantity").alias("rating"))
     )
-    split = deterministic_split(F.col("user") * F.lit(1009) + F.col("item"), RECOMMENDER_TRAIN_PERCENT)
+    split = deterministic_split(F.col("user") % 100_003 * 1009 + F.col("item") % 100_003, RECOMMENDER_TRAIN_PERCENT)
     # the ratings table feeds both training and scoring: build it once
     ratings = materialize(ratings.withColumn("split", split), "ratings")
+    ratings = models.int_ids(models.int_ids(ratings, "user"), "item")
     model = models.als(ratings.filter("split = 'train'"))
-    return model.transform(ratings.filter("split = 'test'")).select("user", "item", "rating", "prediction")
+    return model.transform(ratings.filter("split = 'test'"))
 
 
-@query("text_classify", note="rows-only: hashed features cannot be reproduced in SQL")
-def text_classify(spark, sf_dir):
+@query("als_predict", note="rows-only: ALS factors depend on the random initialisation; see als_facts")
+def als_predict(spark, sf_dir):
+    return _scored_ratings(spark, sf_dir).select("user", "item", "rating", "prediction")
+
+
+@query("als_facts", sql=f"""
+SELECT o_custkey AS user_key, l_suppkey AS item_key, round(avg(l_quantity), 4) AS rating
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+HAVING NOT ({_split_sql('o_custkey % 100003 * 1009 + l_suppkey % 100003', RECOMMENDER_TRAIN_PERCENT)})
+""", note="every test pair is scored exactly once, under its own keys")
+def als_facts(spark, sf_dir):
+    return _scored_ratings(spark, sf_dir).select(
+        F.col("user_key"), F.col("item_key"), F.round("rating", 4).alias("rating"))
+
+
+def _classified(spark, sf_dir):
     labels = load(spark, sf_dir, "labels", "doc_id", "quality")
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
     data = docs.join(labels, "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"),
         deterministic_split(F.col("doc_id"), CLASSIFIER_TRAIN_PERCENT).alias("split"),
     )
+    data = materialize(data, "labelled-text")  # read by the IDF fit, the Naive Bayes fit and the scoring
     model = models.text_classifier().fit(data.filter("split = 'train'"))
-    return model.transform(data.filter("split = 'test'")).select("doc_id", "label", "prediction")
+    return model.transform(data.filter("split = 'test'"))
+
+
+@query("text_classify", note="rows-only: hashed features cannot be reproduced in SQL; see text_classify_facts")
+def text_classify(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "label", "prediction")
+
+
+@query("text_classify_facts", sql=f"""
+SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS label, true AS known
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE NOT ({_split_sql('d.doc_id', CLASSIFIER_TRAIN_PERCENT)})
+""", note="every test document once, with one of the classes")
+def text_classify_facts(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "label", F.col("prediction").isin(0.0, 1.0).alias("known"))
