@@ -63,11 +63,12 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
     """Java ``String.split(sep)``: keeps leading and inner empty strings, drops
     trailing ones (D9).  ``sep`` is a regular expression, as in Java.
 
-    An input consisting only of separators yields an empty array, as in Java.
-    Note Java returns ``[""]`` for the empty string itself; we return ``[]``.
+    An input consisting only of separators yields an empty array, and the
+    empty string ``[""]``, as in Java.
     """
-    stripped = F.regexp_replace(_col(c), f"(?:{sep})+$", "")  # trailing separators
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, sep))
+    stripped = F.regexp_replace(_col(c), rf"(?:{sep})+\z", "")  # trailing separators
+    return (F.when(_col(c) == "", F.array(F.lit("")))
+            .when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, sep)))
 
 
 def split_words(c: str | Column, sep: str = " ") -> Column:

@@ -75,12 +75,13 @@ def indicator_columns(df: DataFrame, column: str, values: Sequence[str], prefix:
 def deterministic_split(key: Column, train_percent: int, modulus: int = 100_003, multiplier: int = 7919) -> Column:
     """``'train'``/``'test'`` from key arithmetic.
 
-    The bucket ``((key mod m) * a mod m) mod 100`` scatters consecutive keys
-    and is reproducible in any SQL engine, so the split can be checked and
-    rerun after a failure with the same result.  The intermediate product
-    stays below 2^63 for any key.
+    The bucket ``((key mod m) * a mod m) mod 100``, with a non-negative mod,
+    scatters consecutive keys and is reproducible in any SQL engine, so the
+    split can be checked and rerun after a failure with the same result.  The
+    intermediate product stays below 2^63 for any key.  A null key counts as 0.
     """
-    bucket = ((key % F.lit(modulus)) * F.lit(multiplier) % F.lit(modulus)) % F.lit(100)
+    residue = F.pmod(F.coalesce(key, F.lit(0)), F.lit(modulus))
+    bucket = residue * F.lit(multiplier) % F.lit(modulus) % F.lit(100)
     return F.when(bucket < F.lit(train_percent), F.lit("train")).otherwise(F.lit("test"))
 
 

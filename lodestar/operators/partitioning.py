@@ -5,33 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.joins import bounded_broadcast
+from lodestar.operators.joins import DEFAULT_BROADCAST_BYTES, fits_rows
 
 
-def target_partitions(spark) -> int:
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism, shuffle)
+def spread(scan: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (tokenising, regex) on a table of few files
+    at least one task per core.
 
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (tokenising, regex, model training) at
-    least one partition per core.
-
-    A large input already arrives in thousands of scan splits and is
-    returned unchanged - no shuffle is added.  Only a small or unsplittable
-    input (one parquet row group is one split) is redistributed.  Hashing on
-    ``key`` with the shuffle partition count makes the result clustered by
-    that key, so a following aggregation or join keyed by ``key`` needs no
-    further exchange.
-    """
-    try:
-        target = min_partitions or target_partitions(df.sparkSession)
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    For a bare scan only: it looks at the number of files, which runs no job.
+    A table of at least as many files as cores is returned unchanged; a small
+    one (a single file is a single split when it is one row group) is dealt
+    out.  Results never depend on it."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    files = len(scan.inputFiles())
+    return scan.repartition(cores) if files < cores else scan
 
 
 def split_hot_join(big: DataFrame, small: DataFrame, key: str, count_col: str,
@@ -46,13 +33,21 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, count_col: str,
     ``max_hot_keys`` of them, so they are joined by broadcast with a proven
     bound and their rows are never shuffled.  Every other key holds less than
     1/``max_hot_keys`` of the rows, so the shuffle join of the rest has no
-    partition dominated by one key.  No row is dropped or sampled.
+    partition dominated by one key.  If the hot rows of ``small`` are too large
+    to broadcast (very long keys), their keys are salted instead.  No row is
+    dropped or sampled.
     """
     if total_rows is None:
         total_rows = small.agg(F.sum(count_col)).first()[0] or 0
     is_hot = F.col(count_col) * F.lit(max_hot_keys) >= F.lit(total_rows)
-    hot = bounded_broadcast(small.filter(is_hot), max_hot_keys)
-    cold = small.filter(~is_hot)
-    hot_part = big.join(hot, key)
-    cold_rows = big.join(hot.select(key), key, "left_anti")
+    hot, cold = small.filter(is_hot), small.filter(~is_hot)
+    if fits_rows(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
+        hot_part = big.join(F.broadcast(hot), key)
+        cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti")
+    else:
+        salts = 256
+        salted = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        dealt = big.withColumn("_salt", (F.monotonically_increasing_id() % salts).cast("int"))
+        hot_part = dealt.join(salted, [key, "_salt"]).drop("_salt")
+        cold_rows = dealt.join(salted.select(key, "_salt"), [key, "_salt"], "left_anti").drop("_salt")
     return hot_part.unionByName(cold_rows.join(cold, key))

@@ -59,21 +59,12 @@ def keyed_max(df: DataFrame, key: str, value: str, alias: str = "max") -> DataFr
     return df.groupBy(key).agg(F.max(value).alias(alias))
 
 
-def mean_skip_invalid(df: DataFrame, column: str, alias: str = "mean", exact: bool = False) -> DataFrame:
+def mean_skip_invalid(df: DataFrame, column: str, alias: str = "mean") -> DataFrame:
     """Mean of a text column over the values that look like plain decimal
-    numbers (A5: the reference skips its header line this way).
-
-    With ``exact`` the values are summed as decimal(38, 6) and divided once,
-    so the result does not depend on the order in which partitions are added
-    up (doubles would differ in the last bits from run to run).
-    """
+    numbers (A5: the reference skips its header line this way).  Values are
+    summed as doubles, as the reference does."""
     valid = df.filter(is_numeric(column))
-    if exact:
-        value = F.col(column).try_cast("decimal(38,6)")
-        mean = F.sum(value).cast("double") / F.count(F.lit(1))
-    else:
-        mean = F.avg(try_double(column))
-    return valid.agg(mean.alias(alias), F.count(F.lit(1)).alias("n_valid"))
+    return valid.agg(F.avg(try_double(column)).alias(alias), F.count(F.lit(1)).alias("n_valid"))
 
 
 def count_above_mean(df: DataFrame, column: str) -> DataFrame:
@@ -96,28 +87,34 @@ def filter_join_aggregate(
     fact_key: str,
     dim_key: str,
     group_key: str,
-    measure: str,
+    mean_of: str,
     predicate: Column,
+    max_of: str | None = None,
 ) -> DataFrame:
     """Filter -> join -> group -> avg/max/count (J2, the flagship chain).
 
+    ``predicate``, ``mean_of`` and ``max_of`` (default: ``mean_of``) may be
+    different columns; ``n_rows`` counts rows whether or not they have values.
+
     The fact table is first reduced to one row per join key (partial sums,
     counts, maxima).  This eager aggregation shrinks the join input to the
     number of distinct keys, and makes the join immune to a hot key: whatever
     share of the fact rows one key holds, it reaches the join as one row.
     """
+    max_of = max_of or mean_of
     per_key = (
         fact.filter(predicate)
         .groupBy(F.col(fact_key).alias("_k"))
         .agg(
-            F.sum(measure).alias("_sum"),
-            F.count(measure).alias("_cnt"),
-            F.max(measure).alias("_max"),
+            F.sum(mean_of).alias("_sum"),
+            F.count(mean_of).alias("_cnt"),
+            F.max(max_of).alias("_max"),
+            F.count(F.lit(1)).alias("_rows"),
         )
     )
     joined = per_key.join(dim.select(F.col(dim_key).alias("_k"), group_key), "_k")
     return joined.groupBy(group_key).agg(
-        (F.sum("_sum") / F.sum("_cnt")).alias(f"avg_{measure}"),
-        F.max("_max").alias(f"max_{measure}"),
-        F.sum("_cnt").alias("n_rows"),
+        F.try_divide(F.sum("_sum"), F.sum("_cnt")).alias(f"avg_{mean_of}"),
+        F.max("_max").alias(f"max_{max_of}"),
+        F.sum("_rows").alias("n_rows"),
     )

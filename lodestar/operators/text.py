@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import WHITESPACE  # noqa: F401  (re-exported; Java's \s spelled out)
 from lodestar.functions.scalar import split_words
-from lodestar.operators.joins import with_scalars
-from lodestar.operators.partitioning import split_hot_join, spread
+from lodestar.operators.joins import bounded_broadcast, with_scalars
+from lodestar.operators.partitioning import split_hot_join
 from lodestar.session import materialize
 
+MAX_CLASSES = 1000  # a class label has few values; more is taken for a mistake
+
 
 def tokens(text: str | Column) -> Column:
     """Lower-case, split on whitespace runs, drop empty tokens (M5)."""
@@ -28,13 +30,15 @@ def tokens(text: str | Column) -> Column:
 
 def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
     """(word, n) over all lines, words split on ``sep`` (P16 + A2)."""
-    words = spread(df).select(F.explode(split_words(text, sep)).alias("word"))
+    words = df.select(F.explode(split_words(text, sep)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_frequency(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, token, tf): occurrences of each token in each document (M6, exact form)."""
-    exploded = spread(docs, doc_id).select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
+    """(doc_id, token, tf): occurrences of each token in each document (M6, exact form).
+
+    Tokens are counted in the task that reads the text; only counts are shuffled."""
+    exploded = docs.select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
     return exploded.groupBy(doc_id, *extra, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -115,8 +119,8 @@ def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0
     per_class = f.groupBy(label).agg(F.sum("_f").alias("_fc"))  # one row per class
     a = F.lit(float(smoothing))
     denom = F.col("_fc") + a * vocab_size
-    # per_class has one row per class; AQE broadcasts it from its measured size
-    params = f.join(per_class, label).select(
+    # one row per class: broadcast, so the vocabulary is not shuffled by a column of few values
+    params = f.join(bounded_broadcast(per_class, MAX_CLASSES), label).select(
         label, "token",
         F.log((F.col("_f") + a) / denom).alias("log_prob"),
         F.log(a / denom).alias("log_prob_unseen"),
@@ -134,7 +138,15 @@ def naive_bayes_priors(labelled: DataFrame, label: str, smoothing: float = 1.0)
     )
 
 
-def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, classes: list,
+def label_classes(train_docs: DataFrame, label: str) -> list:
+    """The label values of the training documents, in order (at most ``MAX_CLASSES``)."""
+    found = [r[0] for r in train_docs.filter(F.col(label).isNotNull()).select(label).distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} values; it does not look like a class label")
+    return sorted(found)
+
+
+def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, classes: list | None = None,
                       smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """Train multinomial Naive Bayes on TF-IDF features as tables (M8, M9).
 
@@ -146,8 +158,14 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
     log-probability; ``priors`` has per class its ``log_prior`` and
     ``log_prob_unseen``.  This is the model Spark ML's CountVectorizer ->
     IDF -> NaiveBayes pipeline fits, kept as tables instead of a driver-side
-    matrix.  ``classes`` is the (small) list of label values.
+    matrix.  ``classes`` lists the label values (default: those of the training
+    documents); one that the documents do not have is an error.
     """
+    seen = label_classes(train_docs, label)
+    if classes is None:
+        classes = seen
+    elif set(classes) != set(seen):
+        raise ValueError(f"classes {sorted(classes)} differ from the labels of the training documents {seen}")
     n_docs = train_docs.agg(F.count(F.lit(1))).scalar()
     params, weights = naive_bayes_fit_tf(train_tf, n_docs, label, smoothing)
     deltas = (
@@ -166,7 +184,7 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
 
 
 def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, vocab: DataFrame,
-                        priors: DataFrame, label: str, classes: list) -> DataFrame:
+                        priors: DataFrame, label: str, classes: list | None = None) -> DataFrame:
     """(doc_id, prediction): argmax over classes of
     log_prior + Σ_j x_j log P(j | class), x = tf × idf over training tokens.
 
@@ -178,14 +196,15 @@ def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, v
     any training token is still scored (by its prior).
     """
     tf = test_tf.select(doc_id, "token", "tf")
-    model = vocab.join(document_frequency(tf), "token")
+    model = materialize(vocab.join(document_frequency(tf), "token"), "nb-scored-vocab")
     x = split_hot_join(tf, model, "token", "df", total_rows=tf.count())
+    pri = {r[label]: (r["log_prior"], r["log_prob_unseen"]) for r in priors.collect()}  # one row per class
+    classes = sorted(pri) if classes is None else classes
     k = len(classes)
     sums = x.groupBy(doc_id).agg(
         F.sum(F.col("tf") * F.col("idf")).alias("_x"),
         *[F.sum(F.col("tf") * F.col("idf") * F.col(f"delta_{i}")).alias(f"_c{i}") for i in range(k)],
     )
-    pri = {r[label]: (r["log_prior"], r["log_prob_unseen"]) for r in priors.collect()}  # K rows
     scores = [
         F.lit(pri[c][0]) + F.lit(pri[c][1]) * F.col("_x") + F.col(f"_c{i}") for i, c in enumerate(classes)
     ]

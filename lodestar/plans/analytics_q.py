@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import CLASSIFIER_TRAIN_PERCENT
 from lodestar.operators import metrics, stats, text
+from lodestar.operators.cleanse import deterministic_split
 from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
+from lodestar.session import materialize
 from lodestar.sources.tables import load
 
 PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -106,7 +108,7 @@ WHERE word <> '' GROUP BY word
 )
 def word_count(spark, sf_dir):
     conv = load(spark, sf_dir, "conversations", "text")
-    return text.word_count(conv, "text")
+    return text.word_count(spread(conv), "text")
 
 
 _TOKENS_SQL = (
@@ -137,7 +139,7 @@ GROUP BY doc_id, token
 @query("term_frequency", sql=_TF_SQL)
 def term_frequency(spark, sf_dir):
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    return text.term_frequency(docs, "doc_id", "text")
+    return text.term_frequency(spread(docs), "doc_id", "text")
 
 
 @query(
@@ -153,14 +155,28 @@ FROM tf JOIN w ON tf.token = w.token
 )
 def tf_idf(spark, sf_dir):
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    out = text.tf_idf(docs, "doc_id", "text")
+    out = text.tf_idf(spread(docs), "doc_id", "text")
     return out.select("doc_id", "token", "tf", F.round("idf", 6).alias("idf"), F.round("tf_idf", 6).alias("tf_idf"))
 
 
-def _labelled_docs(spark, sf_dir):
-    labels = load(spark, sf_dir, "labels", "doc_id", "quality")
-    docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    return docs.join(labels, "doc_id").select("doc_id", F.col("quality").alias("label"), "text")
+def _labels(spark, sf_dir):
+    labels = load(spark, sf_dir, "labels", "doc_id", "quality").filter("quality is not null")
+    return labels.select("doc_id", F.col("quality").alias("label"),
+                         deterministic_split(F.col("doc_id"), CLASSIFIER_TRAIN_PERCENT).alias("split"))
+
+
+def _labelled_ids(spark, sf_dir):
+    """doc_id, label, split of the labelled documents; reads no text."""
+    return load(spark, sf_dir, "documents", "doc_id").join(_labels(spark, sf_dir), "doc_id")
+
+
+def _labelled_counts(spark, sf_dir):
+    """Token counts of the labelled documents, and their ids.  Tokens are
+    counted where the text is read and labels are attached to the counts, so
+    the text itself is never shuffled; stored once for all uses."""
+    docs = spread(load(spark, sf_dir, "documents", "doc_id", "text"))
+    tf = materialize(text.term_frequency(docs, "doc_id", "text").join(_labels(spark, sf_dir), "doc_id"), "nb-tf")
+    return tf, _labelled_ids(spark, sf_dir)
 
 
 @query(
@@ -182,7 +198,8 @@ FROM f JOIN fc ON f.label = fc.label, v
 """,
 )
 def naive_bayes_params(spark, sf_dir):
-    params, _ = text.naive_bayes_fit(_labelled_docs(spark, sf_dir), "doc_id", "text", "label")
+    tf, ids = _labelled_counts(spark, sf_dir)
+    params, _ = text.naive_bayes_fit_tf(tf, ids.agg(F.count(F.lit(1))).scalar(), "label")
     return params.select("label", "token", F.round("log_prob", 6).alias("log_prob"),
                          F.round("log_prob_unseen", 6).alias("log_prob_unseen"))
 
@@ -195,16 +212,15 @@ SELECT label, round(ln((n + 1.0) / ((SELECT sum(n) FROM c) + (SELECT count(*) FR
 """,
 )
 def naive_bayes_priors(spark, sf_dir):
-    pri = text.naive_bayes_priors(_labelled_docs(spark, sf_dir), "label")
+    pri = text.naive_bayes_priors(_labelled_ids(spark, sf_dir), "label")
     return pri.select("label", F.round("log_prior", 6).alias("log_prior"))
 
 
 NB_TRAIN_PERCENT = CLASSIFIER_TRAIN_PERCENT
-NB_CLASSES = [0, 1]
 
 
 def _nb_sql() -> str:
-    split = f"(((d.doc_id % 100003) * 7919 % 100003) % 100 < {NB_TRAIN_PERCENT})"
+    split = f"(((d.doc_id % 100003 + 100003) % 100003 * 7919 % 100003) % 100 < {NB_TRAIN_PERCENT})"
     toks = _TOKENS_SQL.format(t="text")
     return f"""
 WITH ld AS (SELECT d.doc_id, l.quality AS label, d.text, {split} AS is_train
@@ -240,19 +256,10 @@ GROUP BY t.doc_id, t.label
 @query("naive_bayes_predict", sql=_nb_sql(),
        note="M8/M9 end to end: TF-IDF + Naive Bayes trained and applied as joins and aggregations")
 def naive_bayes_predict(spark, sf_dir):
-    from lodestar.operators.cleanse import deterministic_split
-
-    from lodestar.session import materialize
-
-    data = _labelled_docs(spark, sf_dir).withColumn(
-        "split", deterministic_split(F.col("doc_id"), NB_TRAIN_PERCENT))
-    # Tokenise the labelled documents once; train and test are filters on it.
-    tf = materialize(text.term_frequency(data, "doc_id", "text", extra=("label", "split")), "nb-tf")
-    ids = data.select("doc_id", "label", "split")
+    tf, ids = _labelled_counts(spark, sf_dir)
     train_docs, test_docs = ids.filter("split = 'train'"), ids.filter("split = 'test'")
-    vocab, priors = text.naive_bayes_model(tf.filter("split = 'train'"), train_docs, "label", NB_CLASSES)
-    pred = text.naive_bayes_predict(tf.filter("split = 'test'"), test_docs, "doc_id", vocab, priors,
-                                    "label", NB_CLASSES)
+    vocab, priors = text.naive_bayes_model(tf.filter("split = 'train'"), train_docs, "label")
+    pred = text.naive_bayes_predict(tf.filter("split = 'test'"), test_docs, "doc_id", vocab, priors, "label")
     return test_docs.select("doc_id", "label").join(pred, "doc_id")
 
 

@@ -39,6 +39,24 @@ def filter_join_agg(spark, sf_dir):
     )
 
 
+@query(
+    "filter_join_agg_columns",
+    sql="""
+SELECT s.s_nationkey, round(avg(l.l_extendedprice), 4) AS avg_l_extendedprice, max(l.l_discount) AS max_l_discount, count(*) AS n_rows
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WHERE l.l_quantity > 30
+GROUP BY s.s_nationkey
+""",
+    note="J2 as in the reference: predicate, mean and maximum on three different columns",
+)
+def filter_join_agg_columns(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    out = rel.filter_join_aggregate(lines, supplier, "l_suppkey", "s_suppkey", "s_nationkey", "l_extendedprice",
+                                    F.col("l_quantity") > F.lit(30.0), max_of="l_discount")
+    return out.withColumn("avg_l_extendedprice", F.round("avg_l_extendedprice", 4))
+
+
 @query("select_cols", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def select_cols(spark, sf_dir):
     return rel.select_cols(load(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", "o_totalprice")
@@ -62,11 +80,11 @@ def filter_gt_select(spark, sf_dir):
     return rel.filter_gt(orders, "o_totalprice", 200000.0).select("o_orderkey", "o_totalprice")
 
 
-@query("sql_where", sql="SELECT * FROM part WHERE p_retailprice > 1000")
+@query("sql_where", sql="SELECT * FROM part WHERE p_retailprice > 915")
 def sql_where(spark, sf_dir):
     # P4 + P21: register the table as a view and query it with SQL.
     load(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return spark.sql("SELECT * FROM part WHERE p_retailprice > 1000")
+    return spark.sql("SELECT * FROM part WHERE p_retailprice > 915")
 
 
 @query(
