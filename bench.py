@@ -14,12 +14,13 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodestar.plans import QUERIES  # noqa: E402
-from lodestar.session import build_session, checkpoint_dir  # noqa: E402
+from lodestar.session import build_session, use_checkpoint_dir  # noqa: E402
 
 
 def main() -> None:
@@ -27,11 +28,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or sorted(QUERIES)
-    # spark.checkpoint.dir comes from the environment's Spark configuration;
-    # checkpoint_dir() only picks a local folder when it is unset.
+    # spark.checkpoint.dir comes from the Spark configuration; a folder of this machine only if that has none
     spark = build_session(f"local[{cpus}]", app_name="lodestar-bench", shuffle_partitions=cpus * 2,
                           extra_conf={"spark.driver.memory": "16g"})
-    checkpoint_dir(spark)
+    use_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lodestar-bench-"))
     # warm the JVM, parquet readers and Python workers once
     QUERIES["count_rows"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import re
 import sys
+import tempfile
 
 from lodestar.plans import NOTES, ORACLES, QUERIES
-from lodestar.session import build_session
+from lodestar.session import build_session, use_checkpoint_dir
 
 SCAN = re.compile(r"FileScan (\w+) \[([^\]]*)\].*?PushedFilters: (\[[^\]]*\])")
 
@@ -32,6 +33,7 @@ def summarise(plan: str) -> list[str]:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16)
+    use_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lodestar-"))
     lines = ["# PLANS", "",
              f"Physical plans of the registered queries at `{sf_dir}` (generated by `explain_plans.py`).",
              "Static auto-broadcast is off in our sessions: `BroadcastExchange` nodes come from",

@@ -10,6 +10,7 @@ calls did; the query itself runs in full on Spark.
 from __future__ import annotations
 
 import sys
+import tempfile
 
 from lodestar.plans import NOTES, ORACLES, QUERIES
 
@@ -30,9 +31,10 @@ def main(argv: list[str]) -> int:
         return 2
     sf_dir = argv[3] if len(argv) > 3 else "/root/testdata/sf0.01"
     rows = int(argv[4]) if len(argv) > 4 else 20
-    from lodestar.session import build_session
+    from lodestar.session import build_session, use_checkpoint_dir
 
     spark = build_session()
+    use_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lodestar-"))
     df = QUERIES[argv[2]](spark, sf_dir)
     df.printSchema()
     df.show(rows, truncate=80)

@@ -2,16 +2,14 @@
 
 Everything that must survive an executor loss (checkpoints, replay files,
 round-trip scratch tables) goes under the folder named by
-``spark.checkpoint.dir``.  On a cluster that setting must point at shared
-storage; we only invent a local folder when the session runs in local mode
-and nobody set one (e.g. a test run without Spark defaults).
+``spark.checkpoint.dir``, which must be shared storage on a cluster.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -55,39 +53,44 @@ def build_session(
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only in local mode."""
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
+
+    The library never picks a folder of its own: on a cluster a machine-local
+    one would lose intermediate results with an executor.  Programs that run
+    on one machine call ``use_checkpoint_dir`` first."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared storage"
-            )
-        configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def use_checkpoint_dir(spark: SparkSession, folder: Callable[[], str]) -> None:
+    """Name a checkpoint folder where the session has none (tests, tools on one machine)."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir() and not sc.getConf().get("spark.checkpoint.dir", None):
+        sc.setCheckpointDir(folder())
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table that this library wrote under the
+    checkpoint folder.  For the end of a run: results that are still read
+    (unwritten DataFrames of the library) lose their input."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/lodestar-scratch")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/lodestar-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """Event-time windows are computed on UTC wall clock."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -11,13 +11,13 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from lodestar.session import build_session
 
-    from lodestar.session import checkpoint_dir
+    from lodestar.session import use_checkpoint_dir
 
     session = build_session("local[4]", app_name="lodestar-tests", shuffle_partitions=8)
-    checkpoint_dir(session)  # the configured folder, or a local one if unset
+    use_checkpoint_dir(session, lambda: str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -12,6 +12,7 @@ from conftest import SMALL
 def test_query_matches_oracle(spark, duck_small, name):
     result = compare(QUERIES[name](spark, SMALL), duck_small, ORACLES[name])
     assert result["ok"], result
+    assert result["oracle_rows"] > 0, "an empty result proves nothing"
 
 
 def test_every_query_has_oracle_or_note():

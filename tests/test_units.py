@@ -26,7 +26,7 @@ def test_numeric_regex_f11(spark):
 def test_java_split_d9(spark):
     df = spark.createDataFrame([("a  b ",), ("",), ("  ",), (" a",)], "s string")
     got = [r[0] for r in df.select(scalar.java_split("s")).collect()]
-    assert got == [["a", "", "b"], [], [], ["", "a"]]
+    assert got == [["a", "", "b"], [""], [], ["", "a"]]
 
 
 def test_split_words_drops_empties(spark):
@@ -82,7 +82,10 @@ def test_mean_skip_invalid_and_count_above_mean(spark):
     df = spark.createDataFrame([("Sepal",), ("1",), ("2",), ("6",)], "s string")
     row = relational.mean_skip_invalid(df, "s").first()
     assert (row["mean"], row["n_valid"]) == (3.0, 3)
-    assert relational.mean_skip_invalid(df, "s", exact=True).first()["mean"] == 3.0
+    tiny = spark.createDataFrame([("0.0000004",), ("0.0000004",), ("5\n",)], "s string")
+    assert tuple(relational.mean_skip_invalid(tiny, "s").first()) == (4e-7, 2)
+    long = spark.createDataFrame([("1" + "0" * 34,), ("2",)], "s string")
+    assert relational.mean_skip_invalid(long, "s").first()["mean"] == 5e33
     nums = df.select(scalar.try_double("s").alias("x")).na.drop()
     assert relational.count_above_mean(nums, "x").first()["n_above"] == 1
 
@@ -263,13 +266,23 @@ def test_csv_write_read_round_trip(spark):
     assert [tuple(r) for r in files.read_csv(spark, path, schema=df.schema).collect()] == [(1, "x", 2.5)]
 
 
-def test_spread_only_when_under_partitioned(spark):
+def test_spread_only_when_under_partitioned(spark, tmp_path):
     from lodestar.operators.partitioning import spread
 
-    wide = spark.range(0, 100, numPartitions=64)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, "id").rdd.getNumPartitions() > 1
+    path = str(tmp_path / "t")
+    spark.range(0, 100, numPartitions=64).write.parquet(path)
+    wide = spark.read.parquet(path)
+    assert spread(wide) is wide  # at least as many files as cores
+    one = str(tmp_path / "one")
+    spark.range(0, 100, numPartitions=1).write.parquet(one)
+    assert spread(spark.read.parquet(one)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_split_hot_join_salts_hot_rows_that_are_too_large(spark, monkeypatch):
+    from lodestar.operators import partitioning
+
+    monkeypatch.setattr(partitioning, "DEFAULT_BROADCAST_BYTES", 10)
+    test_split_hot_join_complete(spark)
 
 
 def test_split_hot_join_complete(spark):
@@ -416,3 +429,86 @@ def test_bounded_broadcast_byte_bound(spark):
     assert joins.fits_rows(wide, 100)
     assert not joins.fits_rows(wide, 100, max_bytes=10_000)
     assert joins.bounded_broadcast(wide, 100, max_bytes=10_000) is wide
+
+
+def test_size_probe_moves_one_row_per_task(spark):
+    import inspect
+
+    # a map-side aggregate, without a limit that would gather rows in one partition
+    assert ".limit(" not in inspect.getsource(joins.fits_rows)
+    df = spark.range(1000, numPartitions=8).select(F.col("id"), F.lit("abc").alias("s"), F.array("id").alias("a"))
+    assert joins.fits_rows(df, 1000) and not joins.fits_rows(df, 999)
+    assert joins.fits_rows(df.select("id", "s"), 1000, 11_000) and not joins.fits_rows(df.select("id", "s"), 1000, 10_999)
+
+
+def test_r2_of_large_labels(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    df = spark.range(1000).select((F.lit(1e9) + F.col("id") % 7).alias("label"),
+                                  (F.lit(1e9) + F.col("id") % 7 + F.col("id") % 3 * 0.5).alias("prediction"))
+    want = RegressionEvaluator(metricName="r2").evaluate(df)
+    assert math.isclose(metrics.regression_metrics(df).first()["r2"], want, rel_tol=1e-6)
+
+
+def test_flagship_counts_rows_without_a_measure(spark):
+    fact = spark.createDataFrame([(1, None, 5.0, 1), (1, 2.0, 9.0, 1), (1, 4.0, None, 0)], "k int, m double, x double, keep int")
+    dim = spark.createDataFrame([(1, "g")], "d int, name string")
+    row = relational.filter_join_aggregate(fact, dim, "k", "d", "name", "m", F.col("keep") == 1, max_of="x").first()
+    assert row.asDict() == {"name": "g", "avg_m": 2.0, "max_x": 9.0, "n_rows": 2}
+    none = relational.filter_join_aggregate(fact.withColumn("m", F.lit(None).cast("double")), dim, "k", "d", "name", "m", F.lit(True))
+    assert tuple(none.first()) == ("g", None, None, 3)
+
+
+def test_three_classes_are_learned_and_predicted(spark):
+    rows = [(i, f"word{i % 3} word{i % 3} other", i % 3) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    tf = text.term_frequency(docs, "doc_id", "text", extra=("label",))
+    vocab, priors = text.naive_bayes_model(tf, docs.select("doc_id", "label"), "label")
+    got = dict(text.naive_bayes_predict(tf, docs, "doc_id", vocab, priors, "label").collect())
+    assert got == {i: i % 3 for i in range(30)}
+    with pytest.raises(ValueError):
+        text.naive_bayes_model(tf, docs.select("doc_id", "label"), "label", [0, 1])
+
+
+def test_als_ids_beyond_32_bits(spark):
+    rows = [(3_000_000_000_000 + i % 5, -(i % 4), float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "user long, item long, rating double")
+    ids = models.int_ids(models.int_ids(df, "user"), "item")
+    assert ids.count() == 40 and ids.select("user").distinct().count() == 5
+    assert ids.groupBy("user").agg(F.count_distinct("user_key").alias("n")).filter("n <> 1").isEmpty()
+    assert models.als(ids).transform(ids).filter("prediction is null or isnan(prediction)").isEmpty()
+    small = models.int_ids(spark.createDataFrame([(3_000_000, 1.0), (None, 2.0)], "user long, rating double"), "user").collect()
+    assert [(r["user"], r.user_key) for r in small] == [(3_000_000, 3_000_000)]
+
+
+def test_checkpoint_folder_is_never_invented_by_the_library():
+    from lodestar import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
+def test_clear_scratch(spark):
+    from lodestar.session import clear_scratch, materialize, scratch_path
+
+    kept = spark.range(3)
+    path = scratch_path(spark, "probe")
+    kept.write.parquet(path)
+    materialize(kept)
+    clear_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
