@@ -85,6 +85,25 @@ def scan_json_roundtrip(spark, sf_dir):
     return files.read_json(spark, path, schema=nation.schema)
 
 
+@query("scan_csv_semicolon_parts", sql="SELECT * FROM supplier",
+       note="S4 + S11: a folder of ';' parts of which only some begin with the header")
+def scan_csv_semicolon_parts(spark, sf_dir):
+    supplier = load(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "supplier-parts")
+    odd = F.col("s_suppkey") % 2 == 1
+    files.write_csv(supplier.filter(odd), path, header=True, sep=";", mode="append")
+    files.write_csv(supplier.filter(~odd), path, header=False, sep=";", mode="append")
+    return files.read_csv_parts(spark, path, supplier.schema, sep=";")
+
+
+@query("scan_json_inferred", sql="SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
+       note="S5 as in the reference: no schema given, whole numbers are read as bigint")
+def scan_json_inferred(spark, sf_dir):
+    path = scratch_path(spark, "customer-json")
+    files.write_json(load(spark, sf_dir, "customer"), path)
+    return files.read_json(spark, path)
+
+
 IMPUTE_FILL = MISSING_FILL
 
 

@@ -1,9 +1,9 @@
 """JDBC table source.
 
-The caller supplies connection options (no credentials live here).  For
-tables of any size pass ``partition_column`` with its bounds so that Spark
-opens ``num_partitions`` parallel range reads instead of one connection
-pulling the whole table through a single task.  Filters and column
+The caller supplies connection options (no credentials live here) and
+``partition_column`` with its bounds, so that Spark opens ``num_partitions``
+parallel range reads.  A read through one connection, and so one task, must
+be asked for with ``single_task=True``.  Filters and column
 selections applied to the result are pushed into the remote query.
 """
 
@@ -22,7 +22,10 @@ def read_jdbc(
     upper_bound: int | None = None,
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
+    single_task: bool = False,
 ) -> DataFrame:
+    if partition_column is None and not single_task:
+        raise ValueError("name a partition_column with its bounds, or ask for single_task=True")
     if partition_column is not None and None in (lower_bound, upper_bound, num_partitions):
         raise ValueError("partitioned JDBC reads need bounds and num_partitions")
     reader = (

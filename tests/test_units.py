@@ -257,6 +257,8 @@ def test_jdbc_partition_options_required():
 
     with pytest.raises(ValueError):
         read_jdbc(None, "jdbc:none", "t", partition_column="id")
+    with pytest.raises(ValueError):  # one task only if the caller says so
+        read_jdbc(None, "jdbc:none", "t")
 
 
 def test_csv_write_read_round_trip(spark):
