@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of  # noqa: F401
 from lodestar.llm import langid
 
 SOUNDS = {"xa": ["tha", "ing", "wh", "er", "and"], "xb": ["eau", "ou", "tre", "ment", "é"], "xc": ["sch", "ung", "ü", "keit", "ver"]}

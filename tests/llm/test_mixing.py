@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of  # noqa: F401
 from lodestar.llm import mixing
 
 

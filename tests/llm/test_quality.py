@@ -5,6 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of  # noqa: F401
 from lodestar.llm import quality
 
 DEBUG = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5, numClasses=2, numFeatures=3
