@@ -16,15 +16,16 @@ index = block starts (uint64 each), document ids (int64), document lengths (uint
 from __future__ import annotations
 
 import json
-import re
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,11 @@ from lodestar.session import scratch_path
 MAGIC = b"LSPFOR01"
 BLOCK = 1 << 13
 PERCENTILE = 95
+_RUN = 32  # blocks decoded at once when a file is read through
 END_ID = 0
 _HEAD, _TAIL = struct.Struct("<IIIB"), struct.Struct("<QQQ8s")
-_CACHED_WORDS = 400_000  # words whose ids a worker remembers
+_CACHED_WORDS = 1_200_000  # pieces whose ids a worker remembers
+_TEXT_BYTES = 1 << 22  # texts encoded at once
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
@@ -51,14 +54,20 @@ def _pack(values: np.ndarray, width: int) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+@lru_cache(64)
+def _places(n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte and bit at which each of n packed values begins."""
+    bit = np.arange(n, dtype=np.int64) * width
+    return bit >> 3, (bit & 7).astype(np.uint64)
+
+
 def _unpack(data: bytes, n: int, width: int) -> np.ndarray:
-    kind = "<u2" if width <= 16 else "<u4"
     if width in (16, 32):
-        return np.frombuffer(data, kind).astype(np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little", count=n * width).reshape(n, width)
-    wide = np.zeros((n, 8 * np.dtype(kind).itemsize), np.uint8)
-    wide[:, :width] = bits
-    return np.packbits(wide, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
+        return np.frombuffer(data, "<u2" if width == 16 else "<u4").astype(np.uint32)
+    byte, bit = _places(n, width)
+    # eight bytes from every byte on: a value of up to 32 bits lies within the eight from its first
+    words = np.ndarray((len(data),), "<u8", data + bytes(8), strides=(1,))
+    return ((words[byte] >> bit) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -151,15 +160,16 @@ class Reader:
 
     def documents(self) -> Iterator[tuple[int | None, int, Iterator[np.ndarray]]]:
         """(doc_id, offset in the file, its ids in pieces) of every document, in file order."""
-        number, ids = -1, np.zeros(0, np.uint32)
+        span, number, ids = _RUN * BLOCK, -1, np.zeros(0, np.uint32)
 
         def pieces(at: int, end: int) -> Iterator[np.ndarray]:
             nonlocal number, ids
             while at < end:
-                if at // BLOCK != number:
-                    number = at // BLOCK
-                    ids = self.block(number)
-                part = ids[at % BLOCK:at % BLOCK + end - at]
+                if at // span != number:
+                    number = at // span
+                    last = min(len(self.starts) - 1, (number + 1) * _RUN)
+                    ids = np.concatenate([self.block(i) for i in range(number * _RUN, last)])
+                part = ids[at % span:at % span + end - at]
                 yield part
                 at += len(part)
 
@@ -171,59 +181,93 @@ class Encoder:
     """Whole texts to ids with the ``tokenizers`` library.
 
     A byte-level BPE never merges across a single space that is followed by a
-    visible character, or around a line break between visible characters, so
-    the ids of a text are those of its pieces between such places.  Pieces
-    repeat: each distinct one is encoded once and remembered.  Texts with other
-    white space, and other kinds of tokenizer, are encoded as they are.
+    visible character, or around a line break before and after which there is
+    no white space, so the ids of a text are those of its pieces between such
+    places.  Pieces repeat: each distinct one of a batch is looked up once, and
+    encoded once while it is remembered.  Texts with other white space, and
+    other kinds of tokenizer, are encoded as they are.
     """
 
     _LINE = "\x01"  # marks a piece that no space precedes
-    _ODD = re.compile(r"\s\s|^\s|\s\Z|\x01|[^\S \n]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         spec = json.load(open(path, encoding="utf-8"))
         kind = spec.get("pre_tokenizer") or {}
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t["content"] for t in spec.get("added_tokens") or ()] + [self._LINE]
+        self.marks = dict(zip(",.", self._plain([",", "."])))
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_piece = (spec.get("normalizer") is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True)
-                         and not kind.get("add_prefix_space") and (spec.get("model") or {}).get("dropout") is None)
-        self.added = [t["content"] for t in spec.get("added_tokens") or ()]
-        self.known: dict[str, bytes] = {}
+                         and not kind.get("add_prefix_space") and (spec.get("model") or {}).get("dropout") is None
+                         and len(self.line) == 1)
+        self.known: dict[str, bytes | None] = {"\n": np.array(self.line, "<u4").tobytes()}  # None: the text must be encoded as it is
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn(self, pieces: list[str]) -> None:
-        heads = [p for p in pieces if p[0] in (self._LINE, "\n")]
-        self.known.update(zip(heads, self._plain([p.removeprefix(self._LINE) for p in heads])))
-        rest = [p for p in pieces if p[0] not in (self._LINE, "\n")]
-        for a in range(0, len(rest), 4000):  # many pieces as one text, cut again by offsets
-            some = rest[a:a + 4000]
-            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            begins = np.cumsum([0] + [len(p) + 1 for p in some])
+        """Remember the ids of new pieces."""
+        known, new = self.known, []
+        for p in pieces:
+            known[p] = None  # white space of another kind, unless set below
+            if p.isalpha() or p != self._LINE and p.split() == [p]:
+                new.append(p)
+        # many pieces as one text, a line break between them; cut again at the breaks
+        groups = [new[a:a + 2000] for a in range(0, len(new), 2000)]
+        texts = ["\n".join(p[1:] if p[0] == self._LINE else " " + p for p in g) for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(np.array([o[0] for o in found.offsets]), begins)
-            self.known.update((p, ids[i:j].tobytes()) for p, i, j in zip(some, cuts[:-1], cuts[1:]))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[bytes | None] = [None] * len(texts)
-        pieces: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = b""
-            elif self.by_piece and not self._ODD.search(text) and not any(t in text for t in self.added):
-                pieces[i] = (self._LINE + text.replace("\n", " \n " + self._LINE)).split(" ")
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        self._learn(list(set(chain.from_iterable(pieces.values())) - self.known.keys()))
-        for i, p in pieces.items():
-            out[i] = b"".join(map(self.known.__getitem__, p))
-        plain = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(plain, self._plain([texts[i] for i in plain])):
-            out[i] = ids
-        return [np.frombuffer(x, "<u4") for x in out]
+            ends = np.append(np.flatnonzero(ids == self.line[0]), len(ids)).tolist()
+            data, begin = ids.tobytes(), 0
+            for p, end in zip(group, ends):
+                known[p] = data[4 * begin:4 * end]
+                begin = end + 1
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none) one after another, and the offset at which each begins, with the end."""
+        texts = pc.fill_null(texts, "")
+        odd = np.full(len(texts), not self.by_piece)
+        for mark in self.added:
+            odd |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        lines = pc.binary_join_element_wise(self._LINE, pc.replace_substring(texts, "\n", " \n " + self._LINE), "")
+        pieces = pc.split_pattern(lines, " ")
+        code = pieces.flatten().dictionary_encode()
+        distinct, at, first = code.dictionary.to_pylist(), code.indices.to_numpy(), pieces.offsets.to_numpy().astype(np.int64)
+        # a comma or full stop after a letter is a piece of its own for the tokenizer: look up the word before it
+        marks, known = self.marks, self.known
+        tails = [p[-1:] if p[-1:] in marks and p[-2:-1].isalpha() else "" for p in distinct]
+        distinct = [p[:-1] if t else p for p, t in zip(distinct, tails)]
+        if len(known) > _CACHED_WORDS:  # forget the older half
+            for p in list(islice(known, 1, _CACHED_WORDS // 2)):
+                del known[p]
+        if self.by_piece:
+            self._learn([p for p in dict.fromkeys(distinct) if p not in known])
+        ids = [known.get(p) for p in distinct]
+        ids = [x + marks[t] if t and x is not None else x for x, t in zip(ids, tails)]
+        unknown = np.fromiter((x is None for x in ids), bool, len(ids))
+        odd |= np.logical_or.reduceat(unknown[at], first[:-1] - first[0]) if len(at) else False
+        if odd.any():  # these texts as they are: one piece each
+            where = np.flatnonzero(odd)
+            keep = ~np.repeat(odd, np.diff(first))
+            lengths = np.where(odd, 1, np.diff(first))
+            first = np.concatenate(([0], np.cumsum(lengths)))
+            whole = np.empty(first[-1], np.int64)
+            whole[first[where]] = np.arange(len(ids), len(ids) + len(where))
+            inside = np.ones(first[-1], bool)
+            inside[first[where]] = False
+            whole[inside] = at[keep]
+            ids += self._plain(texts.take(pa.array(where)).to_pylist())
+            at = whole
+        ids = [x or b"" for x in ids]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+        n = size[at]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        return flat[np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])], ends[first - first[0]]
 
 
 @lru_cache(2)
@@ -231,20 +275,27 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``_TEXT_BYTES`` of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    cuts = [0, *(np.flatnonzero(np.diff(size // _TEXT_BYTES)) + 1).tolist(), batch.num_rows]
+    yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+
+
 def _write_part(folder: str, tokenizer: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, uri, writer, tokens = TaskContext.get().partitionId(), None, None, 0
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                rows = batch.slice(a, 256)
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for doc, ids in zip(rows.column("doc_id").to_pylist(), _encoder(tokenizer).encode(texts)):
+            for rows in _slices(batch):
+                ids, offsets = _encoder(tokenizer).encode(rows.column("text"))
+                ids = np.insert(ids, offsets[1:], end_id)
+                offsets = (offsets + np.arange(len(offsets))).tolist()
+                for doc, i, j in zip(rows.column("doc_id").to_pylist(), offsets, offsets[1:]):
                     if writer is None:
                         uri, stream = create(folder, part, ".tok")
                         writer = Writer(stream)
-                    writer.add(doc, np.concatenate((ids, end)))
-                    tokens += len(ids) + 1
+                    writer.add(doc, ids[i:j])
+                tokens += len(ids)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [uri], "tokens": [tokens]})
