@@ -115,22 +115,25 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) ->
     return bins, offsets
 
 
-def _pack_group(capacity: int) -> Callable[[pa.Table], pa.Table]:
+def _pack_group(capacity: int, conflicts: tuple[str, ...]) -> Callable[[pa.Table], pa.Table]:
     def pack(group: pa.Table) -> pa.Table:
         rows = group.sort_by([("length", "descending"), ("order", "ascending"), ("piece", "ascending"), ("row", "ascending")])
-        bins, offsets = best_fit(*(rows[c].to_pylist() for c in ("length", "source", "cluster")), capacity)
+        marks = [rows[c].to_pylist() if c in conflicts else range(len(rows)) for c in ("source", "cluster")]
+        bins, offsets = best_fit(rows["length"].to_pylist(), *marks, capacity)
         return rows.append_column("bin", pa.array(bins, pa.int64())).append_column("at", pa.array(offsets, pa.int64()))
 
     return pack
 
 
 def pack(docs: DataFrame, size: Column, cluster: Column, doc_id: str = "doc_id", source: str = "source",
-         capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+         capacity: int = CAPACITY, group: int = GROUP, conflicts: tuple[str, ...] = ("source", "cluster")) -> DataFrame:
     """One row per piece: bin_id, bin_offset, doc_id, piece, start, length, source, cluster.
 
     ``size`` and ``cluster`` are columns over ``docs``.  Pieces of a document
     cover [0, size) in words; pieces of one bin do not overlap and end at or
-    before ``capacity``; no bin holds two pieces of one source or one cluster.
+    before ``capacity``; no bin holds two pieces of one source or one cluster
+    (of what ``conflicts`` names: a source that fills more than its share of
+    bins leaves room unused, and may be left out).
     A null size counts as 0; documents of size 0 get one piece of length 0 in
     no bin (bin_id null).  A null source is a source like any other; a null
     cluster never conflicts.  Repeated rows are packed as often as they occur.
@@ -154,7 +157,7 @@ def pack(docs: DataFrame, size: Column, cluster: Column, doc_id: str = "doc_id",
     dealt = part.select("*", order.alias("order"),
                         F.pmod(F.xxhash64(order, F.col("row")), F.lit(groups)).cast("long").alias("bins"))
     schema = dealt.schema.simpleString()[7:-1] + ",bin:long,at:long"
-    packed = dealt.groupBy("bins").applyInArrow(_pack_group(capacity), schema)
+    packed = dealt.groupBy("bins").applyInArrow(_pack_group(capacity, conflicts), schema)
     out = ["doc_id", "piece", "start", "length", "source", "cluster"]
     return (
         packed.select(F.concat_ws("-", F.lit("g"), "bins", "bin").alias("bin_id"), F.col("at").alias("bin_offset"), *out)

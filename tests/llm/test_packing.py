@@ -108,3 +108,11 @@ def test_pieces_cover_documents_and_bins_hold(spark, docs_of, group):
 
 def test_empty_table(spark, docs_of):
     assert packing.pack_documents(docs_of([])).collect() == []
+
+
+def test_conflicts_may_be_left_out(spark, docs_of):
+    df = docs_of([(i, f"a{i} b c d e", None, "hot") for i in range(40)])
+    size, cluster = packing.word_count(F.col("text")), packing.copy_cluster(F.col("text"))
+    alone = packing.pack(df, size, cluster, capacity=100).select("bin_id").distinct().count()
+    shared = packing.pack(df, size, cluster, capacity=100, conflicts=("cluster",)).select("bin_id").distinct().count()
+    assert (alone, shared) == (40, 2)
