@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 
 
 def index_labels(df: DataFrame, input_col: str, output_col: str, order: str = "frequencyDesc",
-                 handle_invalid: str = "error"):
+                 handle_invalid: str = "error", max_labels: int = 100_000):
     """Fit and apply a frequency-ordered index (M1); ties are broken
-    alphabetically.  Returns ``(indexed_df, model)``; ``model.labels`` maps an
+    alphabetically.  A column of clearly more than ``max_labels`` values (an
+    id, not a category) is an error before anything reaches the driver.  Returns ``(indexed_df, model)``; ``model.labels`` maps an
     index back to its category.  ``handle_invalid='keep'`` gives unseen
     categories the index ``len(labels)``."""
+    found = df.agg(F.approx_count_distinct(input_col, 0.05)).first()[0]
+    if found > 1.2 * max_labels:  # the estimate is within a few percent
+        raise ValueError(f"{input_col!r} has about {found} values; more than {max_labels} cannot be indexed")
     model = StringIndexer(inputCol=input_col, outputCol=output_col, stringOrderType=order,
                           handleInvalid=handle_invalid).fit(df)
     return model.transform(df), model

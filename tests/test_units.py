@@ -514,3 +514,9 @@ def test_clear_scratch(spark):
     clear_scratch(spark)
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_index_refuses_an_id_column(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("s"))
+    with pytest.raises(ValueError):
+        features.index_labels(df, "s", "i", max_labels=100)
