@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import hash60, materialize, ship
 from lodestar.llm.vectors import dimension, from_bytes, matrix, runs, usable
+from lodestar.operators.joins import bounded_broadcast
 
 NEIGHBOURS = 20  # per node of the graph
 LEAF, TREES = 200, 3  # expected rows per leaf; leaves per row
@@ -137,8 +138,10 @@ def build_graph(nodes: DataFrame, width: int, k: int = NEIGHBOURS, rounds: int =
     dealt = materialize(nodes.select("node", "shard", "h").mapInArrow(
         _leaves(planes, offsets, width), "node long, shard long, h binary, tree long, code long"), "ann-leaves")
     key = ["shard", "tree", "code"]
-    full = dealt.groupBy(*key).agg(F.ceil(F.count("node") / (2 * leaf)).alias("split"))
-    dealt = dealt.join(full, key).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("split")))
+    # only overfull leaves are split, so the table of splits is small; its size is checked all the same
+    full = dealt.groupBy(*key).agg(F.ceil(F.count("node") / (2 * leaf)).alias("split")).filter("split > 1")
+    part = F.pmod(F.xxhash64("node", "tree"), F.coalesce("split", F.lit(1)))
+    dealt = dealt.join(bounded_broadcast(full), key, "left").withColumn("part", part)
     start = dealt.groupBy(*key, "part").applyInArrow(_inside(width, k), "a long, b long, s float")
     graph = materialize(_closest(start, k), "ann-graph")
     for turn in range(rounds):
