@@ -1,16 +1,21 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
-Build.  Sampled hyperplanes deal the rows into small leaves (several times);
+Classes.  Equal vectors are one node, whatever their number; a node names the
+rows of its class by rising vec_id, one more than asked
+for, since a row is never its own neighbour.
+
+Build.  Sampled hyperplanes deal the nodes into small leaves (several times);
 neighbours inside a leaf start the graph.  Then rounds of NN-descent: every
 node introduces its neighbours, forward and reverse, to each other - a Spark
 join of neighbours of neighbours - and a pair stays if it beats the worst
 neighbour of one of them.  Vectors travel in half precision here.
 
-Search.  Rows are dealt over shards of bounded expected size, each with its own
+Search.  Nodes are dealt over shards of bounded expected size, each with its own
 graph; (shard) x (block of queries) cells are searched in tasks that hold one
 shard.  Every query keeps a list of the best nodes seen, expands the best
-unexpanded ones, and stops when the whole list is expanded.  Final scores are
-taken in double precision on the original vectors.
+unexpanded ones, and stops when the whole list is expanded.  The whole list is
+then scored in double precision on the original vectors, and its best nodes are
+expanded to the rows of their classes.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ def _binary(width: int):
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = matrix(batch.column("e"), width)
+            m = matrix(batch.column("e"), width) + 0.0  # -0.0 counts as 0.0: equal vectors get equal bytes
             size = np.sqrt((m * m).sum(axis=1, keepdims=True))
             keep = np.flatnonzero(size[:, 0] > 0)  # zero vectors take no part
             half = np.clip(m[keep], -60000, 60000).astype(np.float16)
@@ -164,12 +169,11 @@ def _beam(adjacent: np.ndarray, points: np.ndarray, asked: np.ndarray, own: np.n
     """Greedy search of several queries at once: (positions, scores) of each query's list.
 
     ``adjacent``: neighbours of every position, -1 for none.  ``own``: the
-    query's own position, or -1; it never counts."""
+    query's own position, or -1; a search begins there too."""
     n, q = len(points), len(asked)
     size = min(size, n)
     seen = np.zeros((q, n + 1), bool)
     seen[:, n] = True  # "no neighbour" counts as seen
-    seen[np.arange(q), own] = True  # own = -1: the same column
     row = np.arange(q)[:, None]
 
     def score(found: np.ndarray) -> np.ndarray:
@@ -186,7 +190,7 @@ def _beam(adjacent: np.ndarray, points: np.ndarray, asked: np.ndarray, own: np.n
     first = np.unique(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64))
     nodes = np.broadcast_to(first, (q, len(first))).copy()
     near = np.where(own[:, None] >= 0, adjacent[own], n)  # a query that is in the graph also begins with its neighbours
-    nodes = np.concatenate((nodes, np.where(near < 0, n, near)), axis=1)
+    nodes = np.concatenate((nodes, np.where(near < 0, n, near), np.where(own < 0, n, own)[:, None]), axis=1)
     scores = score(nodes)
     done = np.isneginf(scores)
     active = np.arange(q)
@@ -214,50 +218,62 @@ def _beam(adjacent: np.ndarray, points: np.ndarray, asked: np.ndarray, own: np.n
 
 
 def _search(width: int, k: int, size: int):
-    """One cell: the k nearest nodes found in a shard for every query of a block."""
+    """One cell: the k nearest rows found in a shard for every query of a block."""
+
+    def padded(lists: pa.ChunkedArray) -> np.ndarray:
+        """Rows of a list column, -1 after their ends."""
+        lists = lists.combine_chunks()
+        lengths = np.diff(lists.offsets.to_numpy())
+        out = np.full((len(lists), max(1, lengths.max(initial=0))), -1, np.int64)
+        out[np.arange(out.shape[1]) < lengths[:, None]] = lists.flatten().to_numpy()
+        return out
 
     def search(queries: pa.Table, shard: pa.Table) -> pa.Table:
         if not queries.num_rows or not shard.num_rows:
             return _FOUND.empty_table()
         shard = shard.sort_by("node")
-        node, ids = shard["node"].to_numpy(), shard["vec_id"].to_numpy()
+        node, ids, rows, near = shard["node"].to_numpy(), padded(shard["ids"]), padded(shard["rows"]), padded(shard["near"])
         exact = from_bytes(shard["v"], np.float64, width)
-        lists = shard["near"].combine_chunks()
-        lengths = np.diff(lists.offsets.to_numpy())
-        adjacent = np.full((len(node), max(1, lengths.max(initial=0))), -1, np.int64)
-        adjacent[np.arange(adjacent.shape[1]) < lengths[:, None]] = np.searchsorted(node, lists.flatten().to_numpy())
+        adjacent = np.where(near < 0, -1, np.searchsorted(node, near))
         q, asked = queries["q"].to_numpy(), from_bytes(queries["x"], np.float64, width)
         own = np.searchsorted(node, q)
         own = np.where((own < len(node)) & (node[np.minimum(own, len(node) - 1)] == q), own, -1)
         at, near = _beam(adjacent, exact.astype(np.float32), asked.astype(np.float32), own, max(size, 2 * k))
-        at = np.where(np.isneginf(near), -1, at)[:, :2 * k]  # a margin over k: single precision may swap near ties
-        scores = np.where(at >= 0, (asked[:, None, :] * exact[at]).sum(axis=2), -np.inf)
-        order = np.lexsort((node[at], ids[at], -scores), axis=1)[:, :k]
+        at = np.where(np.isneginf(near), -1, at)
+        scores = np.stack([(x * exact[a]).sum(axis=1) for x, a in zip(asked, at)])  # single precision may swap near ties
+        scores[at < 0] = -np.inf
+        # the best k rows are of the best k classes, in the order of their first rows
+        order = np.lexsort((rows[at, 0], ids[at, 0], -scores), axis=1)[:, :k]
         at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)
+        member, named = rows[at], ids[at]
+        scores = np.where(member < 0, -np.inf, scores[:, :, None])
+        member, named, scores = (x.reshape(len(q), -1) for x in (member, named, scores))
+        order = np.lexsort((member, named, -scores), axis=1)[:, :k]
+        member, named, scores = (np.take_along_axis(x, order, 1) for x in (member, named, scores))
         keep = ~np.isneginf(scores)
-        pick = np.broadcast_to(np.arange(len(q))[:, None], at.shape)[keep]
-        return pa.Table.from_arrays([pa.array(q[pick]), queries["query_id"].take(pa.array(pick)).combine_chunks(),
-                                     pa.array(node[at[keep]]), pa.array(ids[at[keep]]), pa.array(scores[keep])], schema=_FOUND)
+        pick = np.broadcast_to(np.arange(len(q))[:, None], member.shape)[keep]
+        return pa.Table.from_arrays([pa.array(q[pick]), pa.array(member[keep]), pa.array(named[keep]), pa.array(scores[keep])], schema=_FOUND)
 
     return search
 
 
-_FOUND = pa.schema([(c, pa.int64()) for c in ("q", "query_id", "node", "vec_id")] + [("s", pa.float64())])
+_FOUND = pa.schema([(c, pa.int64()) for c in ("q", "row", "vec_id")] + [("s", pa.float64())])
 
 
 def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, k: int, size: int = LIST) -> DataFrame:
-    """(q, query_id, node, vec_id, s): up to k nodes per query and shard.
+    """(q, row, vec_id, s): up to k rows per query and shard.
 
-    ``nodes``: node, shard, vec_id, v (float64 bytes); ``queries``: q, query_id,
-    x (the same; a q that is a node begins at its neighbours and never finds
-    itself).  A node is entered through its neighbours and through up to as
+    ``nodes``: node, shard, v (float64 bytes), ids and rows (vec_id and row
+    number of the members of its class by rising vec_id, k of them if there are
+    as many); ``queries``: q, x (float64 bytes; a q that is a node begins at
+    itself and its neighbours).  A node is entered through its neighbours and through up to as
     many nodes that name it as neighbour."""
     named = Window.partitionBy("b").orderBy(F.desc("s"), "a")
     back = graph.withColumn("p", F.row_number().over(named)).filter(F.col("p") <= NEIGHBOURS)
     near = (graph.select("a", "b").unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b")))
             .groupBy("a").agg(F.collect_set("b").alias("near")))  # at most two lists of bounded length
     held = nodes.join(near, nodes["node"] == near["a"], "left").select(
-        "shard", "node", "vec_id", "v", F.coalesce("near", F.array().cast("array<long>")).alias("near"))
+        "shard", "node", "ids", "rows", "v", F.coalesce("near", F.array().cast("array<long>")).alias("near"))
     held = materialize(held, "ann-index")
     shards = (nodes.agg(F.max("shard")).first()[0] or 0) + 1
     blocks = -(-queries.count() // QUERIES) or 1
@@ -265,7 +281,7 @@ def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width:
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = held.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     return asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(
-        _search(width, k, size), "q long, query_id long, node long, vec_id long, s double")
+        _search(width, k, size), "q long, row long, vec_id long, s double")
 
 
 def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -273,8 +289,10 @@ def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedd
     """query_id, rank, vec_id, score: the k nearest candidates found per query row.
 
     Nearness is the inner product, in double precision on the original
-    vectors; ties go to the smaller vec_id.  Candidates are all rows but the
-    query's own; every row is indexed.  Rows without an id or vector, with
+    vectors.  Candidates are all rows but the query's own.  Every distinct
+    vector is indexed, and a class of equal vectors, of any size, is found or
+    missed as a whole: its rows come by rising vec_id.  All that a query finds
+    is ranked, and ties go to the smaller vec_id.  Rows without an id or vector, with
     null or non-finite components, or with only zeros take no part; shorter
     vectors are padded with zeros.  Rows that repeat a vec_id are rows of
     their own.  An empty table gives an empty result; other columns are ignored.
@@ -285,12 +303,24 @@ def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedd
         F.transform(F.col(embedding), lambda x: x.cast("double")).alias("e"))
     width = max(1, dimension(used, "e"))
     stored = used.mapInArrow(_binary(width), "vec_id long, asks boolean, v binary, h binary")
-    nodes = materialize(stored.withColumn("node", F.monotonically_increasing_id()), "ann-rows")
+    stored = materialize(stored.withColumn("row", F.monotonically_increasing_id()), "ann-rows")
+    # k rows of a class can be asked for besides the query's own (partial limits before the shuffle)
+    claim = Window.partitionBy("v").orderBy("vec_id", "row")
+    members = stored.withColumn("r", F.row_number().over(claim)).filter(F.col("r") <= k + 1)
+    classes = members.groupBy("v").agg(F.first("h").alias("h"), F.array_sort(F.collect_list(F.struct("vec_id", "row"))).alias("m"))
+    nodes = materialize(classes.select(
+        F.col("m")[0]["row"].alias("node"), "v", "h", F.col("m.vec_id").alias("ids"), F.col("m.row").alias("rows")), "ann-classes")
     shards = max(1, math.ceil(nodes.count() / SHARD))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("long"))
     graph = build_graph(nodes, width, max(k, NEIGHBOURS))
-    queries = nodes.filter("asks").select(F.col("node").alias("q"), F.col("v").alias("x"), F.col("vec_id").alias("query_id"))
-    found = greedy_search(graph, nodes, queries, width, k)
-    order = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id", "node")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+    asking = stored.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("row").alias("self"), "v")
+    asking = materialize(asking.join(nodes.select("v", F.col("node").alias("of")), "v").select("query_id", "self", "of"), "ann-queries")
+    queries = nodes.join(asking.select(F.col("of").alias("node")).distinct(), "node", "left_semi")
+    found = greedy_search(graph, nodes, queries.select(F.col("node").alias("q"), F.col("v").alias("x")), width, k + 1)
+    best = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id", "row")
+    found = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)
+    # the queries of one class share its answer, each without itself: at most one of its k + 1 rows
+    answers = asking.join(found, (F.col("of") == F.col("q")) & (F.col("self") != F.col("row")))
+    order = Window.partitionBy("self").orderBy("r")
+    return answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", F.col("s").alias("score"))

@@ -98,3 +98,33 @@ def test_ann_small_tables(spark):
     assert ann.nearest_neighbours(table(spark, [[1.0, 0]], [20]), F.col("vec_id") % 20 == 0).collect() == []
     few = ann.nearest_neighbours(table(spark, [[1.0, 0], [2.0, 0], [0, 1.0], [2.0, 0], [0, -1.0]], [20, 7, 5, 6, 5]), F.col("vec_id") % 20 == 0).collect()
     assert sorted((r["rank"], r.vec_id, r.score) for r in few) == [(1, 6, 2.0), (2, 7, 2.0), (3, 5, 0.0), (4, 5, 0.0)]
+
+
+@pytest.mark.parametrize("shard", [1 << 14, 200])
+def test_ann_copies_by_smallest_id(spark, monkeypatch, shard):
+    """Of many equal vectors a query gets those with the smallest vec_ids, whatever was met first."""
+    monkeypatch.setattr(ann, "SHARD", shard)
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1800, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    hot = rng.permutation(1800)[:1400]  # more copies than a list holds
+    v[hot] = [0.0, *v[0, 1:]]
+    v[hot[:300], 0] = -0.0  # equal all the same
+    ids = rng.permutation(9000)[:1800]
+    got = {}
+    for r in ann.nearest_neighbours(table(spark, v, ids), F.col("vec_id") % 20 == 0, k=20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    asked = [int(i) for i in ids[hot] if i % 20 == 0]
+    assert len(asked) > 20
+    for q in asked:
+        assert sorted(got[q]) == [(n + 1, i) for n, i in enumerate(sorted(int(i) for i in ids[hot] if i != q)[:20])]
+
+
+def test_ann_ranks_the_whole_list(spark):
+    """More than 2 k rows equal in single precision: the best in double precision come first."""
+    rng = np.random.default_rng(6)
+    order = rng.permutation(60)
+    rows = [(20, [1.0, 0.0])] + [(int(i) + 101, [1.0 + float(i) * 1e-12, float(j)]) for j, i in enumerate(order)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(ann.nearest_neighbours(df, F.col("vec_id") == 20, k=5).collect(), key=lambda r: r["rank"])
+    assert [r.vec_id for r in got] == [160, 159, 158, 157, 156]
