@@ -24,12 +24,17 @@ from lodestar.llm.common import crc_remainder, hash60, ship, source_name
 
 HOLD_OUT = (5, 0)  # crc32(doc_id) mod 5 = 0 is never learned from
 PER_LANGUAGE = 1500  # bound of the learning sample, documents per language (expected number)
-LANGUAGES = 200  # most frequent lang values that are learned
 BUCKETS = 1 << 16
 SWITCH = 6.0  # cost of a change of language, in nats
 _FLOOR = -8.0  # least score of a word for a candidate language
 _OUT = -40.0  # score of a language not written in the word's script
 _CHARS = 2_000_000  # letters scored at once: bounds memory
+_HELD = 128  # languages whose sums a task holds at once
+
+
+def _chars(languages: int) -> int:
+    """Letters scored at once: fewer of them for many languages."""
+    return max(1, min(_CHARS, 16 * _CHARS // max(1, languages)))
 
 # First and last code point of the blocks of each script (Unicode).
 SCRIPTS = {
@@ -108,8 +113,17 @@ class LanguageModel:
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Trigram and script sums per language of one task (keys below BUCKETS: trigrams)."""
     sums: dict[str, np.ndarray] = {}
+
+    def flush() -> Iterator[pd.DataFrame]:
+        for lang, acc in sums.items():
+            keys = np.flatnonzero(acc)
+            yield pd.DataFrame({"lang": lang, "key": keys, "n": acc[keys]})
+        sums.clear()
+
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
+            if lang not in sums and len(sums) >= _HELD:
+                yield from flush()
             acc = sums.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS) + 1, np.int64))
             codes = _codes(text)
             for at in range(0, len(codes), _CHARS):
@@ -117,19 +131,17 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 letter = _tables()[0][part]
                 acc[:BUCKETS] += np.bincount(_grams(part, letter)[letter], minlength=BUCKETS)
                 acc[BUCKETS:] += np.bincount(_tables()[1][part][letter], minlength=len(SCRIPTS) + 1)
-    for lang, acc in sums.items():
-        keys = np.flatnonzero(acc)
-        yield pd.DataFrame({"lang": lang, "key": keys, "n": acc[keys]})
+    yield from flush()
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Learn from the documents outside the held-out part that have a text and a lang."""
+    """Learn every lang value, from the documents outside the held-out part that have a text and a lang."""
     ship(docs.sparkSession)
     mod, out = HOLD_OUT
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
             .filter("text is not null and lang is not null").filter(crc_remainder("doc_id", mod) != out))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy("lang").collect()  # one row per language
     if not sizes:
         return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
     limit = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]) * 2.0**60)])
@@ -153,8 +165,9 @@ def _emissions(model: LanguageModel, text: str) -> tuple[np.ndarray, np.ndarray,
     starts, ends, letter = _words(codes)
     scores = np.zeros((len(starts), len(model.languages)), np.float32)
     grams = _grams(codes, letter)
+    step = _chars(len(model.languages))
     # whole words, some of them at a time; a word beyond the bound is a step of its own
-    cuts = np.unique(np.searchsorted(ends, np.arange(0, len(codes) + _CHARS, _CHARS)))
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, len(codes) + step, step)))
     for a, b in zip(cuts[:-1], cuts[1:]):
         lo, hi = starts[a], ends[b - 1]
         inside = np.column_stack((starts[a:b], ends[a:b])).ravel() - lo
@@ -181,19 +194,19 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarra
     for t in range(lengths[0] if len(lengths) else 0):
         active = int(np.searchsorted(-lengths, -t, "left"))  # texts longer than t
         prev = best[:active]
-        top = prev.argmax(axis=1).astype(np.uint8)
+        top = prev.argmax(axis=1).astype(np.int32)
         jump = prev[np.arange(active), top] - penalty
         stay = prev >= jump[:, None]
         steps.append((top, stay))
         best[:active] = np.where(stay, prev, jump[:, None]) + flat[first[:active] + t]
-    labels = np.zeros(len(flat), np.uint8)
+    labels = np.zeros(len(flat), np.int32)
     now = best.argmax(axis=1)
     for t in range(len(steps) - 1, -1, -1):
         top, stay = steps[t]
         n = len(top)
         labels[first[:n] + t] = now[:n]
         now[:n] = np.where(stay[np.arange(n), now[:n]], now[:n], top)
-    out: list[np.ndarray] = [np.zeros(0, np.uint8)] * len(order)
+    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(order)
     for k, i in enumerate(order):
         out[i] = labels[first[k]:first[k] + lengths[k]]
     return out
@@ -228,7 +241,7 @@ def language_column(text: Column, model: LanguageModel) -> Column:
             for text in batch:
                 group.append(text)
                 size += len(text or "")
-                if size >= _CHARS:
+                if size >= _chars(len(model.languages)):
                     rows += _label(model, group)
                     group, size = [], 0
             rows += _label(model, group)

@@ -117,3 +117,12 @@ def test_held_out_labels_are_not_learned_from(spark, docs_of, model):
 def test_tables_without_lessons(spark, docs_of):
     assert langid.identify(docs_of([])).collect() == []
     assert {r.lang_pred for r in langid.identify(docs_of([(1, "some text", None, None), (2, None, None, None)])).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark, docs_of):
+    """More languages than one byte can number; each has letters of its own."""
+    names = [f"l{i:03}" for i in range(300)]
+    docs = [(i, " ".join([chr(0x4E00 + i % 300) * 3] * 5), names[i % 300], "s") for i in range(3000)]
+    model = langid.fit(docs_of(docs))
+    assert model.languages == tuple(names)
+    assert [x[0] for x in langid._label(model, [d[1] for d in docs[:300]])] == names
