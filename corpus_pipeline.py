@@ -19,8 +19,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, at least half of them in one language."""
-    return langid.monolingual(docs, least=0.5)
+    """Documents with letters, at least half of those that the model can judge in one language."""
+    return langid.monolingual(docs, least=0.5, unlearned=True)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

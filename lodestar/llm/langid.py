@@ -213,13 +213,18 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarra
 
 
 def _label(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict]]]:
+    return (found[:3] for found in _judge(model, texts))
+
+
+def _judge(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict], float | None]]:
+    """Language, score and spans; share of the letters whose script a learned language uses (None: no letters)."""
     if not model.languages:  # nothing was learned
-        yield from (("und", 0.0, []) for _ in texts)
+        yield from (("und", 0.0, [], 0.0 if len(_words(_codes(t or ""))[0]) else None) for t in texts)
         return
     parts = [_emissions(model, t or "") for t in texts]
     for (starts, ends, scores, known), label in zip(parts, viterbi([p[2] for p in parts])):
         if not len(starts):
-            yield "und", 0.0, []
+            yield "und", 0.0, [], None
             continue
         letters = np.where(known, ends - starts, 0)
         share = np.bincount(label, letters, len(model.languages))
@@ -227,13 +232,13 @@ def _label(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple[str,
         cut = np.flatnonzero(np.diff(label, prepend=-1.0))
         last = np.append(cut[1:], len(label)) - 1
         spans = [{"start": int(starts[a]), "end": int(ends[b]), "lang": model.languages[label[a]]} for a, b in zip(cut, last)]
-        yield model.languages[best], float(share[best] / (ends - starts).sum()), spans
+        yield model.languages[best], float(share[best] / (ends - starts).sum()), spans, float(letters.sum() / (ends - starts).sum())
 
 
 def language_column(text: Column, model: LanguageModel) -> Column:
-    """struct(lang, score, spans) of a text column; spans are code-point ranges."""
+    """struct(lang, score, spans, known) of a text column; spans are code-point ranges."""
 
-    @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
+    @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>, known double")
     def identify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: list[tuple] = []
@@ -242,10 +247,10 @@ def language_column(text: Column, model: LanguageModel) -> Column:
                 group.append(text)
                 size += len(text or "")
                 if size >= _chars(len(model.languages)):
-                    rows += _label(model, group)
+                    rows += _judge(model, group)
                     group, size = [], 0
-            rows += _label(model, group)
-            yield pd.DataFrame(rows, columns=["lang", "score", "spans"])
+            rows += _judge(model, group)
+            yield pd.DataFrame(rows, columns=["lang", "score", "spans", "known"])
 
     return identify(text)
 
@@ -269,10 +274,14 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 
 def monolingual(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                least: float = 0.5, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Rows of ``docs`` in which one learned language labels at least ``least`` of the letters."""
+                least: float = 0.5, per_language: int = PER_LANGUAGE, unlearned: bool = False) -> DataFrame:
+    """Rows of ``docs`` in which one learned language labels at least ``least`` of the letters.
+
+    With ``unlearned``, letters that the model can't judge (of scripts that no
+    learned language uses; all, if nothing was learned) speak against no row:
+    the share is that of the other letters, and rows of such letters only stay."""
     model = fit(docs, doc_id, text, lang, per_language)
     found = source_name(docs, "lang")
-    kept = docs.withColumn(found, language_column(F.col(text), model)).filter(
-        (F.col(f"{found}.lang") != "und") & (F.col(f"{found}.score") >= least))
-    return kept.drop(found)
+    lang, score, known = (F.col(f"{found}.{c}") for c in ("lang", "score", "known"))
+    keep = known.isNotNull() & (score >= least * known) if unlearned else (lang != "und") & (score >= least)
+    return docs.withColumn(found, language_column(F.col(text), model)).filter(keep).drop(found)

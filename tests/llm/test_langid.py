@@ -126,3 +126,14 @@ def test_every_language_is_learned(spark, docs_of):
     model = langid.fit(docs_of(docs))
     assert model.languages == tuple(names)
     assert [x[0] for x in langid._label(model, [d[1] for d in docs[:300]])] == names
+
+
+def test_pipeline_keeps_what_it_cannot_judge(spark, docs_of):
+    import corpus_pipeline
+
+    kept = lambda rows: {r.doc_id for r in corpus_pipeline.language_stage(spark, docs_of(rows), "").collect()}
+    unlabelled = [(1, "some text", None, None), (2, None, None, None), (3, "12 !", None, None), (4, "日本語", None, None)]
+    assert kept(unlabelled) == {1, 4}
+    cut = [d for d in made_up() if d[2] != "ru"]
+    ids = kept(cut + [(900, "日本語", None, None), (901, "абв гдеж", None, None), (902, "12", None, None), (903, "thaing 日本語日本語日本語", None, None)])
+    assert {900, 901, 903} <= ids and 902 not in ids
