@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, langid, mixing, packing, quality, simhash, tokenfile, topk, warc
+from lodestar.llm import ann, chat, langid, mixing, packing, quality, resampling, simhash, tokenfile, topk, warc
 from lodestar.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,42 @@ FROM p QUALIFY rank <= 5
 def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return ann.nearest_neighbours(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    return resampling.resample(docs, load(spark, sf_dir, "benchmark", "text")).drop("n_words")
+
+
+# CRC-32 of every distinct feature byte by byte, with a table made from the polynomial.
+ORACLES["op12_importance_resampling"] = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t),
+src AS (SELECT doc_id, 0 AS aim, text, row_number() OVER () AS row FROM documents
+        UNION ALL SELECT NULL, 1, text, -row_number() OVER () FROM benchmark),
+words AS (
+  SELECT doc_id, aim, row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM src),
+feat AS (
+  SELECT aim, row, unnest(list_concat(w, [a[1] || ' ' || a[2] FOR a IN list_zip(w[:-2], w[2:])])) AS f FROM words),
+names AS (SELECT DISTINCT f FROM feat),
+coded AS (
+  SELECT f, CAST(xor(list_reduce([CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT) FOR i IN range(octet_length(encode(f)))],
+              lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS INTEGER) AS bucket
+  FROM names, tab),
+hits AS (SELECT aim, row, bucket FROM feat JOIN coded USING (f)),
+counts AS (SELECT bucket, count(*) FILTER (aim = 0) AS s, count(*) FILTER (aim = 1) AS t FROM hits GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + 10000) / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS g
+  FROM counts),
+weights AS (SELECT row, count(*) AS n, CAST(floor(sum(g) / count(*)) AS BIGINT) AS w FROM hits JOIN gain USING (bucket) WHERE aim = 0 GROUP BY row),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(x.w, 0) AS weight, len(d.w) >= 20 AS may,
+         coalesce(x.w, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM words d LEFT JOIN weights x USING (row) WHERE d.aim = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS r, count(*) FILTER (may) OVER () AS eligible FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND r <= 25 * eligible // 100 THEN r END AS rank FROM ranked
+"""
