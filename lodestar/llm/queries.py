@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, langid, mixing, packing, quality, resampling, simhash, tokenfile, topk, warc
+from lodestar.llm import ann, chat, langid, mixing, packing, quality, resampling, simhash, tokenfile, topk, trie, warc
+from lodestar.llm.common import materialize
 from lodestar.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +205,47 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS r, count(*) FILTER (may) OVER () AS eligible FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN may AND r <= 25 * eligible // 100 THEN r END AS rank FROM ranked
 """
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return trie.prefix_trie(*trie.rebuild(materialize(trie.numbered_turns(rows), "trie-turns")))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t),
+t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+ids AS (
+  SELECT n.c, n.c - n.c % 5 AS base, coalesce(b.n, 0) AS base_n,
+         xor(list_reduce([ord(x) FOR x IN string_split(n.c::VARCHAR, '')], lambda s, b: xor(s // 256, t[xor(s, b) % 256 + 1]),
+                         CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS h
+  FROM n LEFT JOIN n b ON b.c = n.c - n.c % 5, tab),
+r AS (
+  SELECT ids.c, pos, role, text FROM ids JOIN t ON t.c = base AND pos < h
+  UNION ALL SELECT ids.c, least(h, base_n) + pos - h, role, text FROM ids JOIN t ON t.c = ids.c AND pos >= h),
+p AS (
+  SELECT c, pos + 1 AS depth, octet_length(encode(text)) AS bytes,
+         sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '' ORDER BY pos)
+                OVER (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING)) AS key
+  FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM ids),
+q AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY depth) AS up, count(*) OVER (PARTITION BY c) - 1 AS len FROM p),
+v AS (
+  SELECT key, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CASE WHEN depth = len THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM q GROUP BY key, depth),
+k AS (SELECT up AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY up),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (key)),
+s AS (
+  SELECT q.key, count(*) FILTER (w.n_children = 0) AS n_leaves, CAST(sum((w.n_convs - 1) * w.bytes) AS BIGINT) AS saved_tokens
+  FROM w JOIN q ON q.c = w.conv_id AND q.depth <= w.depth GROUP BY q.key)
+SELECT w.conv_id, w.depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM w JOIN s USING (key) LEFT JOIN v a ON a.key = w.up
+"""
