@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, chat, langid, mixing, packing, quality, resampling, simhash, tokenfile, topk, trie, warc
+from lodestar.llm import ann, chat, langid, mixing, packing, quality, resampling, simhash, suffixes, tokenfile, topk, trie, warc
 from lodestar.llm.common import materialize
 from lodestar.sources.tables import load
 
@@ -249,3 +249,34 @@ s AS (
 SELECT w.conv_id, w.depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
 FROM w JOIN s USING (key) LEFT JOIN v a ON a.key = w.up
 """
+
+
+@_query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(load(spark, sf_dir, "documents", "doc_id", "text"), span=50)
+
+
+# Every 50-byte string of every text, written as hexadecimal digits.
+ORACLES["op13_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+b AS (  -- blocks of 256 strings: cutting from short texts is fast
+  SELECT doc_id, substr(x, CAST(2 * q + 1 AS BIGINT), 610) AS x, q FROM (SELECT doc_id, x, unnest(range(0, n - 49, 256)) AS q FROM d WHERE n >= 50)),
+w AS (
+  SELECT doc_id, q + p AS p, substr(x, CAST(2 * p + 1 AS BIGINT), 100) AS s
+  FROM (SELECT doc_id, q, x, unnest(range(least(256, length(x) // 2 - 49))) AS p FROM b)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, p FROM w JOIN f USING (s) WHERE first < w.doc_id),
+g AS (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit),
+r AS (SELECT *, count(*) FILTER (before IS NULL OR p > before + 50) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+sp AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY doc_id, run),
+tot AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM sp GROUP BY doc_id),
+keep AS (  -- what stands before each span, and behind the last
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS lo, a AS hi FROM sp
+  UNION ALL SELECT doc_id, coalesce((SELECT max(b) FROM sp WHERE sp.doc_id = d.doc_id), 0), n FROM d),
+t AS (
+  SELECT doc_id, string_agg(substr(x, CAST(2 * lo + 1 AS BIGINT), CAST(2 * (hi - lo) AS BIGINT)), '' ORDER BY lo, hi) AS x
+  FROM keep JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(t.x)) AS kept_sha256
+FROM d JOIN t USING (doc_id) LEFT JOIN tot USING (doc_id)
+"""

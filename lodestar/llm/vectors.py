@@ -56,3 +56,12 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         held = [batch.slice(cut)]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """One table per run of equal ``key`` values of a stream sorted by it."""
+    for table in runs(batches, key):
+        keys = table[key].to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield table.slice(a, b - a)
