@@ -44,9 +44,9 @@ from lodestar.operators.joins import bounded_broadcast, fits_rows
 
 SPAN = 50  # bytes of a string that must not come again
 PIECE = 1 << 18  # bytes of text worked on at once
-HASHED, SORTED = 1 << 20, 1 << 18  # anchors per run of hashes, suffixes per sorted run
+HASHED, SORTED = 1 << 18, 1 << 17  # anchors per run of hashes, suffixes per sorted run
 HOT = 4096  # occurrences of a seed beyond which its windows are sorted one by one
-PART_BYTES = 16 << 20  # expected bytes of suffixes per merge task
+PART_BYTES = 8 << 20  # expected bytes of suffixes per merge task
 SAMPLED = 64  # sampled suffixes per merge task, which place the splitters
 _LAST = (1 << 63) - 1  # stands for a null id: no document is behind it
 _MUL = 0x9E3779B97F4A7C15
