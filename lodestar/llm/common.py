@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,3 +55,18 @@ def ship(spark: SparkSession) -> None:
             out.write(file, Path("lodestar") / file.relative_to(root))
     sc.addPyFile(str(archive))
     sc._lodestar_shipped = True
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go when the query that wrote them has ended, not when the driver collects garbage.
+
+    For chains of stages that each end in a written table: nothing reads an
+    older shuffle again.  Files lost while a query runs are still made anew."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

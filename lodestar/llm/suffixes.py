@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialize, ship
+from lodestar.llm.common import materialize, ship, shuffles_dropped
 from lodestar.llm.textbytes import row_ranges, utf8
 from lodestar.llm.vectors import groups
 from lodestar.operators.joins import bounded_broadcast, fits_rows
@@ -695,7 +695,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cannot occur.  An empty table gives an empty result; other columns are
     ignored, whatever their names.
     """
-    rows, spans = repeated_spans(docs, doc_id, text, span)
+    with shuffles_dropped(docs.sparkSession):
+        rows, spans = repeated_spans(docs, doc_id, text, span)
     texts = _keyed(docs, doc_id, text).select("doc", "h", "text")
     out = "doc long, h long, n_removed long, n_spans long, kept " + ("binary" if with_text else "string")
     cut = texts.join(spans, ["doc", "h"]).mapInArrow(_remove(with_text), out).dropDuplicates(["doc", "h"])
