@@ -45,6 +45,7 @@ from lodestar.operators.joins import bounded_broadcast, fits_rows
 SPAN = 50  # bytes of a string that must not come again
 PIECE = 1 << 18  # bytes of text worked on at once
 HASHED, SORTED = 1 << 18, 1 << 17  # anchors per run of hashes, suffixes per sorted run
+PASSED = 1 << 13  # codes per row that only passes through
 HOT = 4096  # occurrences of a seed beyond which its windows are sorted one by one
 PART_BYTES = 8 << 20  # expected bytes of suffixes per merge task
 SAMPLED = 64  # sampled suffixes per merge task, which place the splitters
@@ -192,8 +193,8 @@ def _hash_runs(span: int, seed: int, bits: int):
         sent_h, sent = h[shared], code[shared]
         by_h = np.argsort(sent_h, kind="stable")
         sent_h, sent = sent_h[by_h], sent[by_h]
-        for k, a in enumerate(range(0, len(sent), 1 << 16)):
-            rows.append({"bucket": int((sent[a] + k) % (1 << bits)), "kind": 1, "many": b"", **_grouped(sent_h[a:a + (1 << 16)], sent[a:a + (1 << 16)], "<i8")})
+        for a in range(0, len(sent), PASSED):  # to any bucket, as the documents' hashes have it
+            rows.append({"bucket": int(sent_h[a] & ((1 << bits) - 1)), "kind": 1, "many": b"", **_grouped(sent_h[a:a + PASSED], sent[a:a + PASSED], "<i8")})
         single = ~several
         low, bucket = code[first] & 0xFFFFFFFF, code[first] >> 32
         many = several | (times > 1)
