@@ -96,6 +96,25 @@ def _present(path: str) -> Column:
     return F.coalesce(F.exists(F.col(outer), lambda x: x.getField(inner).isNotNull()), F.lit(False))
 
 
+def _fitting(df: DataFrame, field: T.StructField) -> Column:
+    """The column of ``df`` named like the field, if its type fits; null otherwise."""
+    have = {f.name.lower(): f for f in df.schema.fields}.get(field.name)
+    null = F.lit(None).cast(field.dataType)
+    if have is None:
+        return null
+    col, kind = F.col(f"`{have.name}`"), have.dataType
+    if isinstance(field.dataType, T.ArrayType):
+        inner = kind.elementType if isinstance(kind, T.ArrayType) else None
+        if not isinstance(inner, T.StructType):
+            return null
+        names = {f.name.lower(): f.name for f in inner.fields if isinstance(f.dataType, T.StringType)}
+        value = lambda x, n: x.getField(names[n]) if n in names else F.lit(None).cast("string")
+        return F.transform(col, lambda x: F.struct(*[value(x, n).alias(n) for n in field.dataType.elementType.names]))
+    if isinstance(field.dataType, T.StringType):
+        return col.cast("string") if isinstance(kind, T.StringType) else null
+    return col.cast(field.dataType) if isinstance(kind, T.IntegralType) else null
+
+
 def _paths() -> list[str]:
     out = []
     for f in FIELDS.fields:
@@ -106,7 +125,10 @@ def _paths() -> list[str]:
 
 def schema_fingerprint() -> Column:
     """Hash of the paths present in a row (columns as in ``FIELDS``)."""
-    paths = F.concat_ws("\n", *[F.when(_present(p), F.lit(p)) for p in _paths()])
+    # a row with a turn, role or text is one turn, whatever other columns its table fills
+    turn = F.col("turn").isNotNull() | F.col("role").isNotNull() | F.col("text").isNotNull()
+    own = ("turn", "role", "text")
+    paths = F.concat_ws("\n", *[F.when(_present(p) if p in own else _present(p) & ~turn, F.lit(p)) for p in _paths()])
     return F.substring(F.sha2(F.encode(paths, "UTF-8"), 256), 1, 16)
 
 
@@ -117,13 +139,16 @@ def canonical_turns(df: DataFrame, conv_id: str = "conv_id", json: str | None =
     The layout is read from the columns of ``df``, or from a column of JSON
     texts.  ``turn_no`` is the row's ``turn`` (null for layouts that hold whole
     conversations), ``item`` the position inside the row.  A row whose
-    fingerprint no mapping owns is kept as one turn with null role and text
-    and null layout.  Fields beyond ``FIELDS`` are ignored.
+    fingerprint no mapping owns is kept as one turn with null layout, null
+    role and null text.  Fields beyond ``FIELDS`` are ignored, and so are
+    columns that are named like a field but have another type (a string
+    ``messages``).  A row that has a turn, role or text is one turn even if
+    further columns of its table are filled.  Null values stay null here and
+    count as empty when they are formatted; texts may be of any length; equal
+    rows are turns of their own; an empty table gives no turn.
     """
     if json is None:
-        have = {c.lower(): c for c in df.columns}
-        fields = [(F.col(f"`{have[f.name]}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-                  for f in FIELDS.fields]
+        fields = [_fitting(df, f).alias(f.name) for f in FIELDS.fields]
         rows = df.select(F.col(conv_id).alias("conv_id"), *fields)
     else:
         rows = df.select(F.col(conv_id).alias("conv_id"), F.from_json(F.col(json), FIELDS).alias("j")).select("conv_id", "j.*")
@@ -139,11 +164,14 @@ def canonical_turns(df: DataFrame, conv_id: str = "conv_id", json: str | None =
 
 
 def escape_text(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\\*)" + _CONTROL, r"$1$1\\$2")
+    # a run of backslashes is tried from its begin only, and taken whole: linear in any text
+    return F.regexp_replace(text, r"(?<!\\)(\\*+)" + _CONTROL, r"$1$1\\$2")
 
 
 def unescape_text(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\\*)\1\\" + _CONTROL, "$1$2")
+    # pairs before a control string become one, each found where the last one ended (\G); then its own backslash goes
+    pairs = r"(?:\G(?!^)|(?<!\\)(?=\\*+" + _CONTROL + r"))\\\\"
+    return F.regexp_replace(F.regexp_replace(text, pairs, r"\\"), r"\\" + _CONTROL, "$1")
 
 
 def escape_role(role: Column) -> Column:

@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +90,34 @@ def test_empty_table_and_native_plan(spark):
     assert chat.digests(chat.write_formatted(turns)).collect() == []
     plan = chat.digests(chat.format_turns(turns))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_long_runs_of_backslashes_take_no_time(spark):
+    run = "\\" * 200_000
+    texts = [run, run + "### ", run + "x</turn>", run + "</turn>" + run + "### " + run, "</turn>" * 20_000, ("\\" * 3 + "### ") * 20_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(1).cache()
+    back = df.select("i", chat.unescape_text(chat.escape_text(F.col("t"))).alias("back"), "t")
+    assert back.count() == len(texts)
+    began = time.time()
+    assert back.filter("back <> t").count() == 0
+    assert time.time() - began < 3
+
+
+def test_escapes_are_reversible_for_every_short_text(spark):
+    parts = ["\\", "\\\\", "### ", "</turn>", "#", "x", "\n"]
+    texts = ["".join(c) for n in range(5) for c in itertools.product(parts, repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    escaped = chat.escape_text(F.col("t"))
+    assert df.filter(chat.unescape_text(escaped) != F.col("t")).count() == 0
+    # every control string is behind an odd run of backslashes
+    assert df.filter(escaped.rlike(r"(?<!\\)(\\\\)*+(### |</turn>)")).count() == 0
+
+
+def test_clashing_columns_lose_no_text(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "hello", "not a list", "a prompt", 7), (1, 1, "assistant", None, None, "other", 8)],
+                                 "conv_id long, turn int, role string, text string, messages string, prompt string, conversations int")
+    got = sorted((r.turn_no, r.role, r.text, r.layout) for r in chat.canonical_turns(rows).collect())
+    assert got == [(0, "user", "hello", "turn_row"), (1, "assistant", None, "turn_row")]
+    swapped = spark.createDataFrame([(2, [("hi", 1, "user")])], "conv_id long, messages array<struct<content: string, n: int, role: string>>")
+    assert [(r.role, r.text, r.layout) for r in chat.canonical_turns(swapped).collect()] == [("user", "hi", "messages")]
+    assert chat.canonical_turns(rows.limit(0)).collect() == []
