@@ -107,20 +107,22 @@ def mix_rows(slim: DataFrame) -> DataFrame:
     return materialize(joined.select("p.source", "source_size", "target", "whole", "below"), "mix-plan")
 
 
-def _with_plan(rows: DataFrame, plan: DataFrame, source: str, h: str) -> DataFrame:
-    """Attach the plan row (column ``_ls``) of its source to every row.
+def _with_plan(rows: DataFrame, plan: DataFrame, source: str, h: str) -> tuple[DataFrame, str]:
+    """Attach the plan row of its source to every row, in a column named for no clash; the frame and that name.
 
     The plan has one row per source, repeated for ``_SALTS`` salts taken from
     the row hash: broadcast when it is proven small, else a shuffle join in
     which a source with a third of all rows is dealt over many tasks."""
+    name, key, salt = (source_name(rows, c) for c in ("plan", "source", "salt"))
     salted = bounded_broadcast(plan.select(
-        F.col("source").alias("_ls_s"), F.struct("source_size", "target", "whole", "below").alias("_ls"),
-        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_ls_salt")))
-    return rows.join(salted, rows[source].eqNullSafe(salted["_ls_s"]) & ((rows[h] % _SALTS) == salted["_ls_salt"]))
+        F.col("source").alias(key), F.struct("source_size", "target", "whole", "below").alias(name),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias(salt)))
+    joined = rows.join(salted, rows[f"`{source}`"].eqNullSafe(salted[key]) & ((rows[h] % _SALTS) == salted[salt]))
+    return joined.drop(key, salt), name
 
 
-def _copies(h: str) -> Column:
-    return F.col("_ls.whole") + F.when(F.col(h) < F.col("_ls.below"), 1).otherwise(0)
+def _copies(plan: str, h: str) -> Column:
+    return F.col(f"{plan}.whole") + F.when(F.col(h) < F.col(f"{plan}.below"), 1).otherwise(0)
 
 
 def row_hash(doc_id: str, text: str) -> Column:
@@ -134,20 +136,27 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     mix takes of the row, repeats counted: 0, size or 2 x size.  Rows equal in
     doc_id and text share a hash and are taken alike.  A null source is a
     source of its own (last in rank); null doc_ids are hashed as such.  An
-    empty table gives an empty result; other columns are ignored.
+    empty table gives an empty result; texts of any length are counted whole;
+    other columns are ignored.
     """
     slim = materialize(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                                    word_count(F.col(text)).alias("size"), row_hash(doc_id, text).alias("h")), "mix-rows")
-    out = _with_plan(slim, mix_rows(slim), "source", "h")
-    return out.select("doc_id", "size", "_ls.source_size", "_ls.target", (F.col("size") * _copies("h")).alias("taken"))
+    out, plan = _with_plan(slim, mix_rows(slim), "source", "h")
+    return out.select("doc_id", "size", f"{plan}.source_size", f"{plan}.target", (F.col("size") * _copies(plan, "h")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: each row as often (0, 1, 2 times) as the mix takes it.
-    Rows without words follow the same thresholds.  Columns of ``docs``."""
+
+    Columns and values are those of ``docs``, whatever the columns are called.
+    Rows without words (null, empty or blank texts) follow the same
+    thresholds; a null source is a source of its own; rows equal in id and
+    text are taken alike; texts may be of any length; an empty table gives an
+    empty mix."""
     h = source_name(docs, "h")
     slim = materialize(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
                                    row_hash(doc_id, text).alias("h")), "mix-rows")
-    out = _with_plan(docs.withColumn(h, row_hash(doc_id, text)), mix_rows(slim), source, h)
-    repeated = out.withColumn("_ls_copy", F.explode(F.array_repeat(F.lit(1), _copies(h).cast("int"))))
+    out, plan = _with_plan(docs.withColumn(h, row_hash(doc_id, text)), mix_rows(slim), source, h)
+    copy = source_name(out, "copy")
+    repeated = out.withColumn(copy, F.explode(F.array_repeat(F.lit(1), _copies(plan, h).cast("int"))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -103,3 +103,18 @@ def test_hot_source_and_single_source_capped(spark, docs_of):
     got = mixing.mix(docs_of(rows)).collect()
     targets = {r.target for r in got}
     assert targets == {60.0, 1.5 * 3030 - 60}
+
+
+def test_columns_named_like_our_own_keep_their_values(spark, docs_of, rows):
+    names = ["_ls", "_ls_s", "_ls_salt", "_ls_copy", "_ls_h", "_ls_plan", "_ls_source", "size", "h", "below"]
+    plain = docs_of(rows[:200])
+    df = plain
+    for i, name in enumerate(names):
+        df = df.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns
+    out = got.collect()
+    for i, name in enumerate(names):
+        assert all(r[name] == f"{i}:{'-' if r.doc_id is None else r.doc_id}" for r in out)
+    count = lambda found: sorted((str(r.doc_id), r.text) for r in found)
+    assert count(out) == count(mixing.mixed_documents(plain).collect())
