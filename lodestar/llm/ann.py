@@ -41,15 +41,14 @@ SHARD, QUERIES = 1 << 14, 128  # expected rows per shard and queries per cell
 ENTRIES = 64  # nodes of a shard that a search begins with
 
 
-def _binary(width: int):
-    """Vectors as float64 bytes (exact) and float16 bytes (for the build)."""
+def _binary(width: int, unit: float):
+    """Vectors as float64 bytes (exact) and, in multiples of ``unit``, as float16 bytes (for the build)."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = matrix(batch.column("e"), width) + 0.0  # -0.0 counts as 0.0: equal vectors get equal bytes
-            size = np.sqrt((m * m).sum(axis=1, keepdims=True))
-            keep = np.flatnonzero(size[:, 0] > 0)  # zero vectors take no part
-            half = np.clip(m[keep], -60000, 60000).astype(np.float16)
+            keep = np.flatnonzero((m != 0).any(axis=1))  # zero vectors take no part
+            half = (m[keep] / unit).astype(np.float16)
             yield pa.RecordBatch.from_pydict({
                 "vec_id": batch.column("vec_id").take(pa.array(keep)), "asks": batch.column("asks").take(pa.array(keep)),
                 "v": pa.array([r.tobytes() for r in m[keep]], pa.binary()), "h": pa.array([r.tobytes() for r in half], pa.binary())})
@@ -217,7 +216,7 @@ def _beam(adjacent: np.ndarray, points: np.ndarray, asked: np.ndarray, own: np.n
         done = np.concatenate((done, np.isneginf(new)), axis=1)
 
 
-def _search(width: int, k: int, size: int):
+def _search(width: int, k: int, size: int, unit: float):
     """One cell: the k nearest rows found in a shard for every query of a block."""
 
     def padded(lists: pa.ChunkedArray) -> np.ndarray:
@@ -238,35 +237,41 @@ def _search(width: int, k: int, size: int):
         q, asked = queries["q"].to_numpy(), from_bytes(queries["x"], np.float64, width)
         own = np.searchsorted(node, q)
         own = np.where((own < len(node)) & (node[np.minimum(own, len(node) - 1)] == q), own, -1)
-        at, near = _beam(adjacent, exact.astype(np.float32), asked.astype(np.float32), own, max(size, 2 * k))
+        at, near = _beam(adjacent, (exact / unit).astype(np.float32), (asked / unit).astype(np.float32), own, max(size, 2 * k))
         at = np.where(np.isneginf(near), -1, at)
-        scores = np.stack([(x * exact[a]).sum(axis=1) for x, a in zip(asked, at)])  # single precision may swap near ties
-        scores[at < 0] = -np.inf
+        with np.errstate(over="ignore", invalid="ignore"):  # products beyond double precision: infinite, or no number
+            scores = np.stack([(x * exact[a]).sum(axis=1) for x, a in zip(asked, at)])  # single precision may swap near ties
         # the best k rows are of the best k classes, in the order of their first rows
-        order = np.lexsort((rows[at, 0], ids[at, 0], -scores), axis=1)[:, :k]
+        order = np.lexsort((rows[at, 0], ids[at, 0], -_ranked(scores), at < 0), axis=1)[:, :k]
         at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)
-        member, named = rows[at], ids[at]
-        scores = np.where(member < 0, -np.inf, scores[:, :, None])
+        member, named = np.where(at[:, :, None] < 0, -1, rows[at]), ids[at]
+        scores = np.broadcast_to(scores[:, :, None], member.shape)
         member, named, scores = (x.reshape(len(q), -1) for x in (member, named, scores))
-        order = np.lexsort((member, named, -scores), axis=1)[:, :k]
+        order = np.lexsort((member, named, -_ranked(scores), member < 0), axis=1)[:, :k]
         member, named, scores = (np.take_along_axis(x, order, 1) for x in (member, named, scores))
-        keep = ~np.isneginf(scores)
+        keep = member >= 0
         pick = np.broadcast_to(np.arange(len(q))[:, None], member.shape)[keep]
         return pa.Table.from_arrays([pa.array(q[pick]), pa.array(member[keep]), pa.array(named[keep]), pa.array(scores[keep])], schema=_FOUND)
 
     return search
 
 
+def _ranked(scores: np.ndarray) -> np.ndarray:
+    """Scores to sort by: what is no number comes behind all numbers."""
+    return np.where(np.isnan(scores), -np.inf, scores)
+
+
 _FOUND = pa.schema([(c, pa.int64()) for c in ("q", "row", "vec_id")] + [("s", pa.float64())])
 
 
-def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, k: int, size: int = LIST) -> DataFrame:
+def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, k: int, size: int = LIST,
+                  unit: float = 1.0) -> DataFrame:
     """(q, row, vec_id, s): up to k rows per query and shard.
 
     ``nodes``: node, shard, v (float64 bytes), ids and rows (vec_id and row
     number of the members of its class by rising vec_id, k of them if there are
     as many); ``queries``: q, x (float64 bytes; a q that is a node begins at
-    itself and its neighbours).  A node is entered through its neighbours and through up to as
+    itself and its neighbours); ``unit``: single precision holds multiples of it.  A node is entered through its neighbours and through up to as
     many nodes that name it as neighbour."""
     named = Window.partitionBy("b").orderBy(F.desc("s"), "a")
     back = graph.withColumn("p", F.row_number().over(named)).filter(F.col("p") <= NEIGHBOURS)
@@ -281,7 +286,7 @@ def greedy_search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width:
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     held = held.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     return asked.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(
-        _search(width, k, size), "q long, row long, vec_id long, s double")
+        _search(width, k, size, unit), "q long, row long, vec_id long, s double")
 
 
 def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -296,13 +301,18 @@ def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedd
     null or non-finite components, or with only zeros take no part; shorter
     vectors are padded with zeros.  Rows that repeat a vec_id are rows of
     their own.  An empty table gives an empty result; other columns are ignored.
+    The size of the values does not matter: the build and the search work on
+    multiples of the table's largest component.  A score beyond double
+    precision is infinite, or no number (such rows come last, by vec_id).
     """
     ship(rows.sparkSession)
     used = rows.filter(usable(vec_id, embedding)).select(
         F.col(vec_id).cast("long").alias("vec_id"), is_query.alias("asks"),
         F.transform(F.col(embedding), lambda x: x.cast("double")).alias("e"))
     width = max(1, dimension(used, "e"))
-    stored = used.mapInArrow(_binary(width), "vec_id long, asks boolean, v binary, h binary")
+    largest = used.agg(F.max(F.array_max(F.transform("e", F.abs)))).first()[0] or 1.0
+    unit = 2.0 ** math.floor(math.log2(largest)) if largest > 1e-300 else largest  # a power of two: dividing by it is exact
+    stored = used.mapInArrow(_binary(width, unit), "vec_id long, asks boolean, v binary, h binary")
     stored = materialize(stored.withColumn("row", F.monotonically_increasing_id()), "ann-rows")
     # k rows of a class can be asked for besides the query's own (partial limits before the shuffle)
     claim = Window.partitionBy("v").orderBy("vec_id", "row")
@@ -316,8 +326,9 @@ def nearest_neighbours(rows: DataFrame, is_query, vec_id: str = "vec_id", embedd
     asking = stored.filter("asks").select(F.col("vec_id").alias("query_id"), F.col("row").alias("self"), "v")
     asking = materialize(asking.join(nodes.select("v", F.col("node").alias("of")), "v").select("query_id", "self", "of"), "ann-queries")
     queries = nodes.join(asking.select(F.col("of").alias("node")).distinct(), "node", "left_semi")
-    found = greedy_search(graph, nodes, queries.select(F.col("node").alias("q"), F.col("v").alias("x")), width, k + 1)
-    best = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id", "row")
+    found = greedy_search(graph, nodes, queries.select(F.col("node").alias("q"), F.col("v").alias("x")), width, k + 1, unit=unit)
+    ranked = F.when(F.isnan("s"), float("-inf")).otherwise(F.col("s"))
+    best = Window.partitionBy("q").orderBy(ranked.desc(), "vec_id", "row")
     found = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)
     # the queries of one class share its answer, each without itself: at most one of its k + 1 rows
     answers = asking.join(found, (F.col("of") == F.col("q")) & (F.col("self") != F.col("row")))

@@ -128,3 +128,21 @@ def test_ann_ranks_the_whole_list(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = sorted(ann.nearest_neighbours(df, F.col("vec_id") == 20, k=5).collect(), key=lambda r: r["rank"])
     assert [r.vec_id for r in got] == [160, 159, 158, 157, 156]
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1e200])
+def test_ann_does_not_depend_on_the_size_of_values(spark, scale):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(1000, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in r * scale]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id") % 20 == 0, k=20).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert sorted(found) == list(range(0, 1000, 20)) and all(len(set(x)) == 20 for x in found.values())
+    if 1e-150 < scale < 1e150:  # else all products are zero or infinite in double precision
+        s = v @ v.T
+        np.fill_diagonal(s, -9)
+        best = np.argsort(-s, axis=1)[:, :20]
+        assert sum(len(set(best[q]) & set(x)) for q, x in found.items()) / (20 * len(found)) >= 0.9
