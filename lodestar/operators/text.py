@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import WHITESPACE  # noqa: F401  (re-exported; Java's \s spelled out)
-from lodestar.functions.scalar import split_words
-from lodestar.operators.joins import bounded_broadcast, with_scalars
+from lodestar.functions.hashing import with_hash_bucket
+from lodestar.functions.scalar import java_split, split_words
+from lodestar.operators.joins import bounded_broadcast, fits_rows, with_scalars
 from lodestar.operators.partitioning import split_hot_join
 from lodestar.session import materialize
 
@@ -28,6 +29,22 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(col), WHITESPACE), lambda t: t != F.lit(""))
 
 
+def tokenizer_words(text: str | Column) -> Column:
+    """Words as the reference's tokenizer has them: lower-cased, split at every single
+    white-space character as Java does (empty words inside stay, trailing ones go)."""
+    col = F.lower(F.col(text) if isinstance(text, str) else text)
+    return java_split(col, WHITESPACE.removesuffix("+"))
+
+
+def hashed_term_frequency(docs: DataFrame, doc_id: str, text: str, buckets: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, token, tf) with ``token`` the hashed feature number of the words (M6 as ``HashingTF`` does).
+
+    Words are counted first, so every distinct word of a document is hashed once."""
+    words = docs.select(doc_id, *extra, F.explode(tokenizer_words(text)).alias("word"))
+    counted = words.groupBy(doc_id, *extra, "word").agg(F.count(F.lit(1)).alias("tf"))
+    return with_hash_bucket(counted, "word", "token", buckets).groupBy(doc_id, *extra, "token").agg(F.sum("tf").alias("tf"))
+
+
 def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
     """(word, n) over all lines, words split on ``sep`` (P16 + A2)."""
     words = df.select(F.explode(split_words(text, sep)).alias("word"))
@@ -103,9 +120,11 @@ def naive_bayes_fit(docs: DataFrame, doc_id: str, text: str, label: str, smoothi
     return naive_bayes_fit_tf(tf, docs.agg(F.count(F.lit(1))).scalar(), label, smoothing)
 
 
-def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0):
+def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0, n_features: int | None = None):
     """``naive_bayes_fit`` from term frequencies (doc, label, token, tf) and
-    the number of training documents (an int or a scalar column)."""
+    the number of training documents (an int or a scalar column).
+    ``n_features``: size of a hashed feature space, which smoothing is over
+    (default: the tokens of the training documents)."""
     pairs = materialize(
         tf.groupBy(label, "token").agg(F.sum("tf").alias("_occ"), F.count(F.lit(1)).alias("_nd")),
         "nb-pairs",
@@ -115,7 +134,7 @@ def naive_bayes_fit_tf(tf: DataFrame, n_docs, label: str, smoothing: float = 1.0
         "token", "df", F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0))).alias("idf")
     )
     f = pairs.join(weights, "token").select(label, "token", (F.col("_occ") * F.col("idf")).alias("_f"))
-    vocab_size = weights.agg(F.count(F.lit(1))).scalar()
+    vocab_size = weights.agg(F.count(F.lit(1))).scalar() if n_features is None else F.lit(n_features)
     per_class = f.groupBy(label).agg(F.sum("_f").alias("_fc"))  # one row per class
     a = F.lit(float(smoothing))
     denom = F.col("_fc") + a * vocab_size
@@ -139,15 +158,17 @@ def naive_bayes_priors(labelled: DataFrame, label: str, smoothing: float = 1.0)
 
 
 def label_classes(train_docs: DataFrame, label: str) -> list:
-    """The label values of the training documents, in order (at most ``MAX_CLASSES``)."""
-    found = [r[0] for r in train_docs.filter(F.col(label).isNotNull()).select(label).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
+    """The label values of the training documents, in order.  The model has a
+    column per class, so a label of more than ``MAX_CLASSES`` values, which
+    would be an id, is an error before any value reaches the driver."""
+    values = train_docs.filter(F.col(label).isNotNull()).select(label).distinct()
+    if not fits_rows(values, MAX_CLASSES):
         raise ValueError(f"{label!r} has more than {MAX_CLASSES} values; it does not look like a class label")
-    return sorted(found)
+    return sorted(r[0] for r in values.collect())
 
 
 def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, classes: list | None = None,
-                      smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+                      smoothing: float = 1.0, n_features: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Train multinomial Naive Bayes on TF-IDF features as tables (M8, M9).
 
     ``train_tf`` is (doc, label, token, tf) of the training documents and
@@ -167,13 +188,13 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
     elif set(classes) != set(seen):
         raise ValueError(f"classes {sorted(classes)} differ from the labels of the training documents {seen}")
     n_docs = train_docs.agg(F.count(F.lit(1))).scalar()
-    params, weights = naive_bayes_fit_tf(train_tf, n_docs, label, smoothing)
+    params, weights = naive_bayes_fit_tf(train_tf, n_docs, label, smoothing, n_features)
     deltas = (
         params.withColumn("_d", F.col("log_prob") - F.col("log_prob_unseen"))
         .groupBy("token").pivot(label, classes).agg(F.first("_d"))
     )
     vocab = weights.select("token", "idf").join(deltas, "token").select(
-        "token", "idf", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"delta_{i}") for i, c in enumerate(classes)]
+        "token", "idf", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(f"delta_{i}") for i, c in enumerate(classes)]
     )
     unseen = params.groupBy(label).agg(F.first("log_prob_unseen").alias("log_prob_unseen"))
     priors = naive_bayes_priors(train_docs, label, smoothing).join(unseen, label)
@@ -184,7 +205,8 @@ def naive_bayes_model(train_tf: DataFrame, train_docs: DataFrame, label: str, cl
 
 
 def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, vocab: DataFrame,
-                        priors: DataFrame, label: str, classes: list | None = None) -> DataFrame:
+                        priors: DataFrame, label: str, classes: list | None = None,
+                        unseen_idf: float | None = None) -> DataFrame:
     """(doc_id, prediction): argmax over classes of
     log_prior + Σ_j x_j log P(j | class), x = tf × idf over training tokens.
 
@@ -193,7 +215,9 @@ def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, v
     table (hot tokens split off, see ``split_hot_join``) and one
     per-document aggregation with K sums.  Ties go to the first class, as in
     Spark ML.  ``test_docs`` lists every document to score, so one without
-    any training token is still scored (by its prior).
+    any training token is still scored (by its prior).  ``unseen_idf``: weight
+    of features that no training document has (a hashed feature space knows
+    them); by default they do not count.
     """
     tf = test_tf.select(doc_id, "token", "tf")
     model = materialize(vocab.join(document_frequency(tf), "token"), "nb-scored-vocab")
@@ -204,7 +228,11 @@ def naive_bayes_predict(test_tf: DataFrame, test_docs: DataFrame, doc_id: str, v
     sums = x.groupBy(doc_id).agg(
         F.sum(F.col("tf") * F.col("idf")).alias("_x"),
         *[F.sum(F.col("tf") * F.col("idf") * F.col(f"delta_{i}")).alias(f"_c{i}") for i in range(k)],
+        F.sum("tf").alias("_seen"),
     )
+    if unseen_idf is not None:
+        every = tf.groupBy(doc_id).agg(F.sum("tf").alias("_all"))
+        sums = every.join(sums, doc_id, "left").fillna(0).withColumn("_x", F.col("_x") + (F.col("_all") - F.col("_seen")) * F.lit(unseen_idf)).drop("_all")
     scores = [
         F.lit(pri[c][0]) + F.lit(pri[c][1]) * F.col("_x") + F.col(f"_c{i}") for i, c in enumerate(classes)
     ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.fixed import CLASSIFIER_TRAIN_PERCENT
 from lodestar.operators import metrics, stats, text
 from lodestar.operators.cleanse import deterministic_split
+from lodestar.operators.joins import DEFAULT_BROADCAST_ROWS, fits_rows
 from lodestar.operators.partitioning import spread
 from lodestar.plans.registry import query
 from lodestar.session import materialize
@@ -170,11 +171,20 @@ def _labelled_ids(spark, sf_dir):
     return load(spark, sf_dir, "documents", "doc_id").join(_labels(spark, sf_dir), "doc_id")
 
 
+def labelled_texts(spark, sf_dir):
+    """doc_id, text of the documents that have a label.  While the labels are few
+    enough to broadcast, the scan drops all other documents before any work on
+    their texts; beyond that they are dropped after their tokens are counted."""
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    wanted = _labels(spark, sf_dir).select("doc_id").distinct()
+    return spread(docs.join(F.broadcast(wanted), "doc_id", "left_semi") if fits_rows(wanted, DEFAULT_BROADCAST_ROWS) else docs)
+
+
 def _labelled_counts(spark, sf_dir):
     """Token counts of the labelled documents, and their ids.  Tokens are
     counted where the text is read and labels are attached to the counts, so
     the text itself is never shuffled; stored once for all uses."""
-    docs = spread(load(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = labelled_texts(spark, sf_dir)
     tf = materialize(text.term_frequency(docs, "doc_id", "text").join(_labels(spark, sf_dir), "doc_id"), "nb-tf")
     return tf, _labelled_ids(spark, sf_dir)
 

@@ -516,7 +516,8 @@ def test_clear_scratch(spark):
         spark.read.parquet(path).count()
 
 
-def test_index_refuses_an_id_column(spark):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("s"))
+def test_label_classes_refuse_an_id_column(spark):
+    df = spark.range(1500).select(F.col("id").cast("string").alias("s"))
     with pytest.raises(ValueError):
-        features.index_labels(df, "s", "i", max_labels=100)
+        text.label_classes(df, "s")
+    assert text.label_classes(df.filter("s IN ('0', '1', '2')").unionByName(spark.createDataFrame([(None,)], "s string")), "s") == ["0", "1", "2"]
