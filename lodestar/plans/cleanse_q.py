@@ -211,3 +211,30 @@ def mean_skip_invalid(spark, sf_dir):
     # ten significant digits: the sum of doubles depends on the order of partitions
     return _mean(words, "word", alias="mean_value").withColumn(
         "mean_value", F.format_string("%.9e", "mean_value").cast("double"))
+
+
+@query(
+    "observed_load",
+    sql=f"""
+WITH w AS (SELECT unnest(string_split(text, ' ')) AS word FROM documents),
+     v AS (SELECT word, regexp_full_match(word, '{NUMERIC_PATTERN[1:-2]}') AS valid FROM w)
+SELECT count(*) AS n_read, count(*) FILTER (NOT valid) AS n_skipped,
+       CAST(printf('%.9e', avg(CASE WHEN valid THEN CAST(word AS DOUBLE) END)) AS DOUBLE) AS mean_value,
+       count(*) FILTER (valid) AS n_written
+FROM v
+""",
+    note="A1/A5 in one pass: rows read, rows skipped and the mean, gathered while the numeric words are written",
+)
+def observed_load(spark, sf_dir):
+    from lodestar.functions.scalar import is_numeric
+    from lodestar.session import scratch_path
+    from lodestar.sources.files import write_observed
+
+    docs = spread(load(spark, sf_dir, "documents", "text"))
+    words = docs.select(F.explode(F.split("text", " ")).alias("word"))
+    valid, path = is_numeric("word"), scratch_path(spark, "observed")
+    seen = write_observed(words, path, keep=valid, n_read=F.count(F.lit(1)), n_skipped=F.count_if(~valid),
+                          mean_value=F.avg(F.when(valid, F.col("word").cast("double"))))
+    row = spark.createDataFrame([(seen["n_read"], seen["n_skipped"], seen["mean_value"])], "n_read long, n_skipped long, mean_value double")
+    written = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+    return row.select("n_read", "n_skipped", F.format_string("%.9e", "mean_value").cast("double").alias("mean_value"), written.alias("n_written"))
