@@ -58,15 +58,19 @@ def ship(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Inside, shuffle files go when the query that wrote them has ended, not when the driver collects garbage.
-
-    For chains of stages that each end in a written table: nothing reads an
-    older shuffle again.  Files lost while a query runs are still made anew."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# For chains of stages that each end in a written table.  Shuffle files go when the query that wrote them has ended,
+# not when the driver collects garbage: nothing reads an older shuffle again, and files lost while a query runs are
+# still made anew.  Long texts reach Python in batches of fewer rows.
+STAGED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialize, ship, shuffles_dropped
+from lodestar.llm.common import STAGED, materialize, settings, ship
 from lodestar.llm.textbytes import row_ranges, utf8
 from lodestar.llm.vectors import groups
 from lodestar.operators.joins import bounded_broadcast, fits_rows
@@ -46,6 +46,7 @@ SPAN = 50  # bytes of a string that must not come again
 PIECE = 1 << 18  # bytes of text worked on at once
 HASHED, SORTED = 1 << 18, 1 << 17  # anchors per run of hashes, suffixes per sorted run
 PASSED = 1 << 13  # codes per row that only passes through
+SHARES = 8  # of a bucket that are sorted one after another
 HOT = 4096  # occurrences of a seed beyond which its windows are sorted one by one
 PART_BYTES = 8 << 20  # expected bytes of suffixes per merge task
 SAMPLED = 64  # sampled suffixes per merge task, which place the splitters
@@ -239,17 +240,25 @@ def _shared_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             many.append(np.frombuffer(extra, "<u4").reshape(-1, 3))
         if not hs:
             continue
-        h, low, extra = np.concatenate(hs), np.concatenate(lows), np.concatenate(many)
-        every = np.concatenate((low, extra[:, 0]))
-        names, of = np.unique(every, return_inverse=True)
-        times = np.bincount(of, np.concatenate((np.ones(len(low)), extra[:, 1].astype(float))), len(names))
-        # runs hold different documents: two of them, or one with several
-        holders = np.bincount(of, np.concatenate((np.ones(len(low)), 2.0 * extra[:, 2])), len(names))
-        keep = holders[of[:len(low)]] >= 2
-        hot = (holders >= 2) & (times > HOT)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(h[keep], np.zeros(hot.sum(), np.int64)), mask=np.append(np.zeros(keep.sum(), bool), np.ones(hot.sum(), bool))),
-             pa.array(np.append(low[keep], names[hot]).astype(np.int64) + bucket)], ["h", "code"])
+        everything = np.concatenate(hs), np.concatenate(lows), np.concatenate(many)
+        del hs, lows, many, table
+        for share in range(SHARES):  # of the hashes of a bucket: bounds the memory of sorting them
+            yield _shared_of(*everything, share, bucket)
+
+
+def _shared_of(h: np.ndarray, low: np.ndarray, extra: np.ndarray, share: int, bucket: int) -> pa.RecordBatch:
+    """The rows of ``_shared_seeds`` for one share of a bucket's hashes."""
+    own, more = low % SHARES == share, extra[:, 0] % SHARES == share
+    h, low, extra = h[own], low[own], extra[more]
+    names, of = np.unique(np.concatenate((low, extra[:, 0])), return_inverse=True)
+    times = np.bincount(of, np.concatenate((np.ones(len(low)), extra[:, 1].astype(float))), len(names))
+    # runs hold different documents: two of them, or one with several
+    holders = np.bincount(of, np.concatenate((np.ones(len(low)), 2.0 * extra[:, 2])), len(names))
+    keep = holders[of[:len(low)]] >= 2
+    hot = (holders >= 2) & (times > HOT)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.append(h[keep], np.zeros(hot.sum(), np.int64)), mask=np.append(np.zeros(keep.sum(), bool), np.ones(hot.sum(), bool))),
+         pa.array(np.append(low[keep], names[hot]).astype(np.int64) + bucket)], ["h", "code"])
 
 
 # --- sorted runs --------------------------------------------------------------------------------------------------
@@ -696,7 +705,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cannot occur.  An empty table gives an empty result; other columns are
     ignored, whatever their names.
     """
-    with shuffles_dropped(docs.sparkSession):
+    with settings(docs.sparkSession, STAGED):
         rows, spans = repeated_spans(docs, doc_id, text, span)
     texts = _keyed(docs, doc_id, text).select("doc", "h", "text")
     out = "doc long, h long, n_removed long, n_spans long, kept " + ("binary" if with_text else "string")
