@@ -34,6 +34,7 @@ def test_exact_top_k(spark, kind, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 16)
     monkeypatch.setattr(topk, "BLOCKS", 3)
     monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "SUMMARIES", 7)
     rng = np.random.default_rng(7)
     n = 400
     v = {"random": rng.normal(size=(n, 8)), "equal": np.ones((n, 8)), "ties": rng.integers(-1, 2, (n, 8)).astype(float), "large": rng.normal(size=(n, 8)) * 1e6}[kind]
@@ -54,6 +55,39 @@ def test_exact_top_k_small_tables(spark):
     assert sorted(map(tuple, twice)) == [(10, 1, 10, 65536)] * 2  # repeated rows are rows of their own
 
 
+def test_exact_top_k_scores_few_rows_of_clustered_vectors(spark):
+    """Bounds prune: of rows around 60 centres a query scores less than 15 %; every answer is exact all the same."""
+    rng = np.random.default_rng(11)
+    n, d = 20000, 16
+    centres = rng.normal(size=(60, d))
+    v = centres[rng.integers(0, 60, n)] + 0.05 * rng.normal(size=(n, d))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    got = topk.exact_top_k(table(spark, v), F.col("vec_id") % 50 == 0, work=True).collect()
+    w = np.floor(256 * v.astype(float)).astype(np.int64)
+    scored, best = {}, {}
+    for r in got:
+        scored[r.query_id] = r.scored
+        best.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(best) == list(range(0, n, 50))
+    for q, rows in best.items():
+        s = w @ w[q]
+        s[q] = -(1 << 40)
+        order = np.lexsort((np.arange(n), -s))[:5]
+        assert sorted(rows) == [(i + 1, int(j), int(s[j])) for i, j in enumerate(order)]
+    assert np.mean(list(scored.values())) / n < 0.15
+
+
+def test_exact_top_k_of_many_copies(spark, monkeypatch):
+    """Of a third of equal rows a query scores the blocks with the smallest ids only."""
+    monkeypatch.setattr(topk, "QUERIES", 64)
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(6000, 8))
+    v[::3] = v[0] * 2
+    got = topk.exact_top_k(table(spark, v), F.col("vec_id") % 150 == 0, work=True).collect()
+    for r in got:
+        assert r.vec_id == 3 * (r["rank"] - (r.query_id >= 3 * r["rank"])) and r.scored < 3000
+
+
 def test_runs_are_never_cut():
     batches = [pa.RecordBatch.from_pydict({"k": k, "v": k}) for k in ([1, 1, 2], [2, 2], [2], [], [2, 3], [4, 5], [5])]
     got = [t["k"].to_pylist() for t in runs(iter(batches), "k")]
