@@ -264,7 +264,9 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     score 0.  Letters of scripts that no learned language uses count for none.
     Ties go to the first language in alphabetical order.  A null doc_id counts
     as the empty id for ``held_out``; repeated rows get equal answers; other
-    columns are ignored; an empty table, or one without lang, gives ``und``.
+    columns are ignored.  A text of any length is labelled whole: it is scored
+    some words at a time, and the path keeps a few bytes per word and
+    language.  An empty table gives an empty result, one without lang ``und``.
     """
     model = fit(docs, doc_id, text, lang, per_language)
     mod, out = HOLD_OUT
@@ -279,7 +281,9 @@ def monolingual(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
 
     With ``unlearned``, letters that the model can't judge (of scripts that no
     learned language uses; all, if nothing was learned) speak against no row:
-    the share is that of the other letters, and rows of such letters only stay."""
+    the share is that of the other letters, and rows of such letters only stay.
+    Null texts, and texts without a letter, go; repeated rows stay or go
+    together; columns keep names and values; an empty table gives an empty one."""
     model = fit(docs, doc_id, text, lang, per_language)
     found = source_name(docs, "lang")
     lang, score, known = (F.col(f"{found}.{c}") for c in ("lang", "score", "known"))

@@ -136,7 +136,8 @@ def pack(docs: DataFrame, size: Column, cluster: Column, doc_id: str = "doc_id",
     bins leaves room unused, and may be left out).
     A null size counts as 0; documents of size 0 get one piece of length 0 in
     no bin (bin_id null).  A null source is a source like any other; a null
-    cluster never conflicts.  Repeated rows are packed as often as they occur.
+    cluster never conflicts.  Repeated rows are packed as often as they occur;
+    a document of any length becomes whole bins and a rest.
     Other columns are ignored; an empty table gives an empty result.
     """
     ship(docs.sparkSession)

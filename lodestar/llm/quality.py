@@ -178,8 +178,9 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     Scores depend on the text alone.  Null and empty texts have zero
     statistics and a score like any other; a null doc_id counts as the empty
-    id for ``held_out``.  Repeated rows get equal scores; other columns are
-    ignored; an empty table gives an empty result.
+    id for ``held_out``.  Repeated rows get equal scores; a text of any length
+    is read whole; other columns are ignored, whatever their names; an empty
+    table gives an empty result.
     """
     model = fit(docs, labels, doc_id, text, rows)
     mod, out = HOLD_OUT
@@ -191,7 +192,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
              rows: int = TRAIN_ROWS, accept: float = ACCEPT) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, all columns unchanged."""
+    """The rows of ``docs`` that the classifier accepts, all columns unchanged.
+
+    Null, empty and very long texts are scored as ``classify`` scores them;
+    repeated rows stay or go together; an empty table gives an empty one.
+    """
     model = fit(docs, labels, doc_id, text, rows)
     stats = source_name(docs, "stats")
     kept = docs.withColumn(stats, statistics_column(F.col(text))).filter(model.score(F.col(stats)) >= accept)

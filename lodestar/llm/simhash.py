@@ -169,8 +169,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     most ``distance`` differing bits, itself included.  Null, empty and blank
     texts have fingerprint zero and link like any other.  A null doc_id takes
     part and gets its component's id (null if the component has only null
-    ids); repeated rows stay repeated rows.  Other columns are ignored; an
-    empty table gives an empty result.
+    ids); repeated rows stay repeated rows.  A text of any length is hashed
+    whole, in blocks of shingles.  Other columns are ignored; an empty table
+    gives an empty result.
     """
     ship(docs.sparkSession)
     prints = materialize(docs.select(F.col(doc_id).alias("doc_id"),
@@ -188,7 +189,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Rows of ``docs`` with one document left of every near-duplicate group.
 
     The row with the smallest doc_id stays (nulls last; among rows of that id
-    the first read).  All columns of ``docs`` come back unchanged.
+    the first read).  All columns of ``docs`` come back unchanged.  Null, empty
+    and blank texts are copies of each other: one row of them stays.  An empty
+    table gives an empty one.
     """
     ship(docs.sparkSession)
     tagged = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),

@@ -310,7 +310,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     Returns the manifest (part, path, tokens, start): files in order, with the
     number of ids before each.  doc_id is an integer; null doc_ids come last;
     rows of one doc_id keep the order of the input, and may be dealt over
-    several files.  Null texts are empty: the end id alone.  An empty table
+    several files.  Null texts are empty: the end id alone.  A text of any
+    length is encoded whole; its ids may run over many blocks.  An empty table
     gives no file.  Other columns are ignored.  ``tokenizer`` is the path of a
     tokenizer file that every executor can read.
     """

@@ -139,8 +139,8 @@ def write_archives(pages: DataFrame, record_key: str, payload: str, uri: str, fo
 
     Null payloads are empty.  Of equal payloads of at least ``least`` bytes the
     row with the smallest key (nulls last; of repeated keys the first read) is
-    the response.  Nothing is written for an empty table.  Other columns are
-    ignored.
+    the response.  A payload of any length is written chunk by chunk.  Nothing
+    is written for an empty table.  Other columns are ignored.
     """
     spark = pages.sparkSession
     ship(spark)
