@@ -9,6 +9,7 @@ calls did; the query itself runs in full on Spark.
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 
@@ -34,7 +35,8 @@ def main(argv: list[str]) -> int:
     from lodestar.session import build_session, use_checkpoint_dir
 
     spark = build_session()
-    use_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lodestar-"))
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # on a cluster the session names shared storage
+        use_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lodestar-"))
     df = QUERIES[argv[2]](spark, sf_dir)
     df.printSchema()
     df.show(rows, truncate=80)
