@@ -127,7 +127,7 @@ def tree_paths(debug_string: str) -> set[tuple[Condition, ...]]:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(stats, label) of at most ``rows`` labelled documents outside the held-out part.
+    """(doc_id, label, stats) of at most ``rows`` labelled documents outside the held-out part.
 
     The sample is chosen on the label side (smallest hashes of doc_id), so at
     most ``rows`` ids are broadcast and only their texts are read into
@@ -142,15 +142,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     stats = (texts.join(F.broadcast(picked), "doc_id")  # at most ``rows`` ids
              .select("doc_id", "label", statistics_column(F.col("text")).alias("stats")))
-    return stats.groupBy("doc_id", "label").agg(F.min("stats").alias("stats")).select("label", "stats")
+    return stats.groupBy("doc_id", "label").agg(F.min("stats").alias("stats"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rows: int = TRAIN_ROWS, seed: int = 7) -> RuleModel:
     """Learn the rule ensemble.  No training rows: a constant score of one half;
-    labels of one class only: a constant near that class."""
+    labels of one class only: a constant near that class.
+
+    The sample (at most ``rows`` short rows of numbers) is learned from in one
+    partition, by rising hash of doc_id, so the model depends neither on how
+    the tables are stored nor on the number of tasks or cores."""
     ship(docs.sparkSession)
-    sample = materialize(training_sample(docs, labels, doc_id, text, rows).coalesce(4), "quality-sample")
+    sample = materialize(training_sample(docs, labels, doc_id, text, rows), "quality-sample")
+    sample = sample.repartition(1).sortWithinPartitions(hash60(F.col("doc_id")), "doc_id")
     seen = sample.agg(F.count("label"), F.sum("label")).first()
     if not seen[0]:
         return RuleModel(0.0)

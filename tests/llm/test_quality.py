@@ -85,6 +85,19 @@ def test_held_out_labels_and_other_columns_are_not_learned_from(spark, docs_of):
     assert a == b
 
 
+def test_model_depends_on_no_layout(spark, docs_of):
+    """Files, their order, and the number of tasks change neither rules nor weights."""
+    docs, labels = made_up()
+    one = quality.fit(docs_of(docs).coalesce(1), spark.createDataFrame(labels, LABELS).coalesce(1))
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        many = quality.fit(docs_of(docs[::-1]).repartition(7), spark.createDataFrame(labels[::-1], LABELS).repartition(5))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    assert one.rules and one == many
+
+
 def test_sample_is_bounded(spark, docs_of):
     docs, labels = made_up(200)
     sample = quality.training_sample(docs_of(docs + docs[:50]), spark.createDataFrame(labels, LABELS), "doc_id", "text", rows=40)
