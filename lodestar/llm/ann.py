@@ -12,7 +12,7 @@ neighbour of one of them.  Vectors travel in half precision here.
 
 Search.  Nodes are dealt over shards of bounded expected size, each with its own
 graph; (shard) x (block of queries) cells are searched in tasks that hold one
-shard.  Every query keeps a list of the best nodes seen, expands the best
+shard, a few queries at once.  Every query keeps a list of the best nodes seen, expands the best
 unexpanded ones, and stops when the whole list is expanded.  The whole list is
 then scored in double precision on the original vectors, and its best nodes are
 expanded to the rows of their classes.
@@ -37,7 +37,8 @@ LEAF, TREES = 200, 3  # expected rows per leaf; leaves per row
 ROUNDS = 2  # of NN-descent
 JOINED = 12  # neighbours per direction that a node introduces in a round
 LIST, EXPAND = 320, 16  # search: list length, nodes expanded at once
-SHARD, QUERIES = 1 << 14, 128  # expected rows per shard and queries per cell
+SHARD, QUERIES = 1 << 14, 1024  # expected rows per shard and queries per cell
+TOGETHER = 128  # queries of a cell searched at once: bounds what is held beside the shard
 ENTRIES = 64  # nodes of a shard that a search begins with
 
 
@@ -234,10 +235,17 @@ def _search(width: int, k: int, size: int, unit: float):
         node, ids, rows, near = shard["node"].to_numpy(), padded(shard["ids"]), padded(shard["rows"]), padded(shard["near"])
         exact = from_bytes(shard["v"], np.float64, width)
         adjacent = np.where(near < 0, -1, np.searchsorted(node, near))
+        points = (exact / unit).astype(np.float32)
+        return pa.concat_tables([found(queries.slice(a, TOGETHER), node, ids, rows, exact, points, adjacent)
+                                 for a in range(0, queries.num_rows, TOGETHER)])
+
+    def found(queries: pa.Table, node: np.ndarray, ids: np.ndarray, rows: np.ndarray, exact: np.ndarray,
+              points: np.ndarray, adjacent: np.ndarray) -> pa.Table:
+        """The k nearest rows found for each of a few queries."""
         q, asked = queries["q"].to_numpy(), from_bytes(queries["x"], np.float64, width)
         own = np.searchsorted(node, q)
         own = np.where((own < len(node)) & (node[np.minimum(own, len(node) - 1)] == q), own, -1)
-        at, near = _beam(adjacent, (exact / unit).astype(np.float32), (asked / unit).astype(np.float32), own, max(size, 2 * k))
+        at, near = _beam(adjacent, points, (asked / unit).astype(np.float32), own, max(size, 2 * k))
         at = np.where(np.isneginf(near), -1, at)
         with np.errstate(over="ignore", invalid="ignore"):  # products beyond double precision: infinite, or no number
             scores = np.stack([(x * exact[a]).sum(axis=1) for x, a in zip(asked, at)])  # single precision may swap near ties
