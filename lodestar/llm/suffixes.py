@@ -24,7 +24,8 @@ their common prefixes; sorting their left sides names the common left parts.
 Two windows are equal if both reach as far as the window does: numbers of
 classes, no string is compared again.  Anchors whose seed occurs very often
 are sorted window by window instead (dense suffixes), so that no group grows
-with the corpus.
+with the corpus.  What a part finds leaves it as one row per bucket of
+documents; a document's spans from all parts become one row.
 """
 
 from __future__ import annotations
@@ -590,6 +591,50 @@ def _merged(span: int, seed: int):
     return merge
 
 
+_SPANS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("docs", "hs", "counts", "spans")]])
+_SPANS_SQL = "bucket int, docs binary, hs binary, counts binary, spans binary"
+
+
+def _packed(merge, buckets: int):
+    """The rows of ``merge``, a part's as one row per bucket of documents however many documents it holds."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in merge(batches):
+            spans = batch.column("spans").to_pylist()
+            bucket = batch.column("h").to_numpy() % buckets
+            order = np.argsort(bucket, kind="stable")
+            bucket, doc, h = bucket[order], batch.column("doc").to_numpy()[order], batch.column("h").to_numpy()[order]
+            count = np.array([len(s) // 8 for s in spans], "<u4")[order]
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            yield pa.RecordBatch.from_pylist(
+                [{"bucket": int(bucket[a]), "docs": doc[a:z].astype("<i8").tobytes(), "hs": h[a:z].astype("<i8").tobytes(), "counts": count[a:z].tobytes(),
+                  "spans": b"".join(spans[i] for i in order[a:z].tolist())} for a, z in zip(first.tolist(), np.append(first[1:], len(order)).tolist())], _SPANS)
+
+    return pack
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed spans of a bucket, from all parts -> one row per document with the union of its spans."""
+    for table in groups(batches, "bucket"):
+        doc, h, count, pairs = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("docs", "<i8"), ("hs", "<i8"), ("counts", "<u4"), ("spans", "<u4")))
+        count, pairs = count.astype(np.int64), pairs.reshape(-1, 2).astype(np.int64)
+        begin = np.cumsum(count) - count
+        order = np.lexsort([h, doc])
+        doc, h, count, begin = (x[order] for x in (doc, h, count, begin))
+        row = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))) - 1
+        upto = np.cumsum(count)
+        a = 0
+        while a < len(row):  # whole documents of about PIECE spans at once
+            z = int(np.searchsorted(upto, upto[a] + PIECE))
+            z = int(np.searchsorted(row, row[min(z, len(row) - 1)], side="right"))
+            n = count[a:z]
+            place = np.repeat(begin[a:z], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            keys = np.stack([doc[a:z], h[a:z]], axis=1)[np.flatnonzero(np.diff(row[a:z], prepend=-1))]
+            out = _span_rows(keys, np.repeat(row[a:z] - row[a], n), pairs[place, 0], pairs[place, 1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["doc", "h", "spans"])
+            a = z
+
+
 # --- the operator -------------------------------------------------------------------------------------------------
 
 
@@ -663,9 +708,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     named = texts.join(lists, "h").select("doc", "h", "text", "codes").sortWithinPartitions("h")
     sorted_runs = named.mapInArrow(_suffix_runs(span, seed, bits, cuts), _RUN_SQL)
-    spans = sorted_runs.repartitionById(ways, F.col("part")).mapInArrow(_merged(span, seed), "doc long, h long, spans binary")
-    spans = materialize(spans, "suffix-spans")
-    return rows, spans.groupBy("doc", "h").agg(F.collect_list("spans").alias("spans"))
+    packed = sorted_runs.repartitionById(ways, F.col("part")).mapInArrow(_packed(_merged(span, seed), tasks), _SPANS_SQL)
+    packed = packed.repartitionById(tasks, F.col("bucket")).sortWithinPartitions("bucket")
+    spans = materialize(packed.mapInArrow(_by_document, "doc long, h long, spans binary"), "suffix-spans")
+    return rows, spans.select("doc", "h", F.array("spans").alias("spans"))
 
 
 def _remove(with_text: bool):

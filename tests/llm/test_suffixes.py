@@ -3,6 +3,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,20 @@ def test_kept_texts_and_empty_tables(spark):
     kept = {r.doc_id: bytes(r.kept) for r in suffixes.remove_repeats(frame(spark, rows), with_text=True).collect()}
     assert kept == {1: rows[0][1].encode(), 2: b"before: " + b" :after", 3: b"none", 4: b"", 5: b""}
     assert run(spark, []) == [] and run(spark, [(1, None)]) == brute([(1, None)], 50)
+
+
+def test_spans_leave_the_merge_packed(spark, small, monkeypatch):
+    """Rows that the merge hands on do not grow with parts times documents; a document's spans come as one row."""
+    rows, stages = texts(5, 120), {}
+    real_write = suffixes.materialize
+    monkeypatch.setattr(suffixes, "materialize", lambda df, name="stage": stages.setdefault(name, real_write(df, name)))
+    assert run(spark, rows) == brute(rows, 50)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spans = stages["suffix-spans"]
+    assert spans.count() == spans.select("doc", "h").distinct().count() > 3 * buckets
+    part = [{"doc": [d], "h": [d * 7919 - 300_000], "spans": [np.array([d, d + 60], "<u4").tobytes()]} for d in range(100)]
+    table = pa.concat_tables([pa.Table.from_pydict(p) for p in part]).combine_chunks()
+    packed = [b for _ in range(3) for b in suffixes._packed(iter, 8)(iter(table.to_batches()))]
+    assert sum(b.num_rows for b in packed) == 3 * 8  # three parts, eight buckets, a hundred documents in each
+    back = [r for b in suffixes._by_document(iter(pa.Table.from_batches(packed).sort_by("bucket").to_batches())) for r in b.to_pylist()]
+    assert sorted(back, key=lambda r: r["doc"]) == table.to_pylist()
