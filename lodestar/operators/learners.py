@@ -9,9 +9,12 @@ splits), never rows.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -19,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.fixed import ALS_MAX_ITER, ALS_REG_PARAM, KMEANS_K
-from lodestar.session import materialize
+from lodestar.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS
+from lodestar.session import materialize, scratch_path
 
 # --- k-means (M12) --------------------------------------------------------------------------------------------
 
@@ -203,6 +207,7 @@ def forest_predict(rows: DataFrame, model: dict, bins: str, output: str = "predi
 # --- alternating least squares (M14) --------------------------------------------------------------------------
 
 HOT_KEYS = 10_000
+BUCKET_KEYS = 2_000_000  # keys whose factors are one task's hash table
 
 
 def start_factors(keys: DataFrame, key: str, rank: int) -> DataFrame:
@@ -214,11 +219,17 @@ def start_factors(keys: DataFrame, key: str, rank: int) -> DataFrame:
     return out.select(key, F.transform("v", lambda x: x / length).alias("v"))
 
 
-def _hot_keys(pairs: DataFrame, by: str, total: int) -> tuple[DataFrame, bool]:
-    """The keys that hold at least 1 / HOT_KEYS of the ratings (at most HOT_KEYS of them), and whether there are others."""
-    counts = pairs.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    hot = materialize(counts.filter(F.col("n") * HOT_KEYS >= total).select(by), "als-hot")
-    return hot, hot.count() < counts.count()
+def _key_counts(pairs: DataFrame, by: str, total: int) -> tuple[DataFrame, int, DataFrame, int]:
+    """The keys with their numbers of ratings, how many keys there are, and those that hold at least
+    1 / HOT_KEYS of the ratings (at most HOT_KEYS of them) with their number."""
+    counts = materialize(pairs.groupBy(by).agg(F.count(F.lit(1)).alias("n")), "als-counts")
+    hot = counts.filter(F.col("n") * HOT_KEYS >= total).select(by)
+    return counts, counts.count(), hot, hot.count()
+
+
+def _may_broadcast(n: int, rank: int) -> bool:
+    """Whether ``n`` factors keep the bounds of a broadcast."""
+    return n <= DEFAULT_BROADCAST_ROWS and n * 8 * (rank + 2) <= DEFAULT_BROADCAST_BYTES
 
 
 def _with_factors(pairs: DataFrame, known: DataFrame, by: str, hot: DataFrame, others: bool) -> DataFrame:
@@ -259,26 +270,80 @@ def als_factors(ratings: DataFrame, user: str = "user", item: str = "item", rati
                 iterations: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM) -> tuple[DataFrame, DataFrame]:
     """User and item factors (key, v) of least squares by turns, for keys of any type and number.
 
-    Starts from hashed item factors; each half step is written as a table.
+    Starts from hashed item factors; each half step is written as a table (see ``_dealt``).
     Rows with a null key or rating take no part; a pair rated twice counts twice."""
     if reg <= 0:
         raise ValueError("reg must be positive: it keeps the normal equations solvable")
     pairs = ratings.filter(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull())
     pairs = materialize(pairs.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("double").alias("rating")), "als-ratings")
-    items = start_factors(pairs.select("item").distinct(), "item", rank)
     total = pairs.count()
-    hot_users, hot_items = _hot_keys(pairs, "user", total), _hot_keys(pairs, "item", total)
-    users = None
-    for _ in range(iterations):
-        users = materialize(_solved(_with_factors(pairs, items, "item", *hot_items), "user", rank, reg), "als-users")
-        items = materialize(_solved(_with_factors(pairs, users, "user", *hot_users), "item", rank, reg), "als-items")
+    known = {by: _key_counts(pairs, by, total) for by in ("user", "item")}
+    many, few = ("user", "item") if known["user"][1] >= known["item"][1] else ("item", "user")
+    users, items = None, start_factors(known["item"][0].select("item"), "item", rank)
+    with _dealt(pairs, many, few, known, rank, reg) as solved:
+        for _ in range(iterations):
+            users = materialize(solved("user", items), "als-users")
+            items = materialize(solved("item", users), "als-items")
     return users, items
 
 
+@contextmanager
+def _dealt(pairs: DataFrame, many: str, few: str, known: dict, rank: int, reg: float) -> Iterator[Callable[[str, DataFrame], DataFrame]]:
+    """A half step, ``solved(ask, other side's factors)``, on ratings that are dealt once, by the side with more keys.
+
+    Ratings lie in a bucketed table, a bucket per core (more if a bucket's keys
+    were too many), and are not shuffled again: a key of the larger side is
+    solved where its ratings lie, from broadcast factors of the smaller side;
+    for the smaller side every bucket sends one sum per key.  What a half step
+    shuffles grows with the number of keys, not of ratings.  Hot keys of the
+    larger side lie in a table of their own, read in splits; their sums are
+    few.  If the smaller side is too large to broadcast, its factors are joined
+    by shuffle and each rating takes its factors, not its part of the normal
+    equations, to its key."""
+    spark = pairs.sparkSession
+    (_, n_many, hot_many, n_hot), (_, n_few, hot_few, n_hot_few) = known[many], known[few]
+    hot = materialize(pairs.join(F.broadcast(hot_many), many, "left_semi"), "als-hot") if n_hot else None
+    cold, name = None, f"lodestar_als_{uuid.uuid4().hex[:12]}"
+    if n_hot < n_many:
+        rows = pairs.join(F.broadcast(hot_many), many, "left_anti") if n_hot else pairs
+        buckets = max(spark.sparkContext.defaultParallelism, -(-n_many // BUCKET_KEYS))
+        rows.write.bucketBy(buckets, many).option("path", scratch_path(spark, "als-cold")).saveAsTable(name)
+        cold = spark.table(name)
+    small = _may_broadcast(n_few, rank)
+
+    def solved(ask: str, factors: DataFrame) -> DataFrame:
+        by = few if ask == many else many
+        parts = []
+        if by == many:
+            if hot is not None:
+                parts.append(hot.join(F.broadcast(factors.join(F.broadcast(hot_many), by, "left_semi")), by))
+            if cold is not None:
+                parts.append(cold.join(factors.hint("shuffle_hash"), by))
+            return _solved(functools.reduce(DataFrame.unionByName, parts), ask, rank, reg)
+        for rows, bounded in ((hot, True), (cold, False)):
+            if rows is None:
+                continue
+            if small:
+                joined = rows.join(F.broadcast(factors), by)
+            else:
+                joined = _with_factors(rows, factors, by, hot_few, n_hot_few < n_few)
+                joined = joined if bounded else joined.repartition(ask)
+            parts.append(_solved(joined, ask, rank, reg))
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    try:
+        if cold is None and hot is None:  # no rating at all
+            cold = pairs
+        yield solved
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def als_score(pairs: DataFrame, users: DataFrame, items: DataFrame, user: str = "user", item: str = "item",
               output: str = "prediction") -> DataFrame:
     """``pairs`` with the product of their factors; NaN where a key was not in training."""
     u, i = users.select(F.col("user").alias("_u"), F.col("v").alias("_uv")), items.select(F.col("item").alias("_i"), F.col("v").alias("_iv"))
+    u, i = (F.broadcast(x) if _may_broadcast(*x.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(v)), F.lit(0))).first()) else x for x, v in ((u, "_uv"), (i, "_iv")))
     joined = pairs.join(u, F.col(user) == F.col("_u"), "left").join(i, F.col(item) == F.col("_i"), "left")
     dot = F.aggregate(F.zip_with("_uv", "_iv", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     known = F.col("_uv").isNotNull() & F.col("_iv").isNotNull()

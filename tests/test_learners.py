@@ -122,6 +122,39 @@ def test_als_against_brute_force_with_a_hot_user(spark):
             assert r.prediction == pytest.approx(float(u[r.user] @ v[r.item]), abs=1e-8)
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_als_deals_its_ratings_once(spark, monkeypatch, swap):
+    """Half steps for the larger side shuffle nothing, those for the smaller side one sum per key and bucket;
+    hot keys or none, broadcast or not: the same factors."""
+    rng = random.Random(8)
+    rows = [(rng.randint(0, 90) if rng.random() < 0.7 else 7, rng.randint(0, 30), rng.random() * 5) for _ in range(600)]
+    rows = [(i, u, r) if swap else (u, i, r) for u, i, r in rows]
+    df = spark.createDataFrame(rows, "user long, item long, rating double").repartition(3)
+    larger = "als-items" if swap else "als-users"
+    plans, real = [], learners.materialize
+
+    def written(frame, name="stage"):
+        plans.append((name, frame._jdf.queryExecution().executedPlan().toString()))
+        return real(frame, name)
+
+    monkeypatch.setattr(learners, "materialize", written)
+    results = []
+    for hot, most in ((1, 1000), (8, 1000), (100_000, 1000), (1, 0), (8, 0)):
+        monkeypatch.setattr(learners, "HOT_KEYS", hot)
+        monkeypatch.setattr(learners, "DEFAULT_BROADCAST_ROWS", most)
+        plans.clear()
+        results.append([{r[0]: r.v for r in f.collect()} for f in learners.als_factors(df, rank=3, iterations=2, reg=0.1)])
+        if (hot, most) == (1, 1000):
+            steps = [executed for name, executed in plans if name == larger]
+            assert len(steps) == 2 and not any("Exchange hashpartitioning" in p for p in steps)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("lodestar_als")]
+    for other in results[1:]:
+        for mine, theirs in zip(results[0], other):
+            assert mine.keys() == theirs.keys()
+            for k in mine:
+                assert theirs[k] == pytest.approx(mine[k], abs=1e-8)
+
+
 def test_als_table_query_fits_its_ratings(spark):
     out = QUERIES["als_table_predict"](spark, SMALL)
     assert out.columns == ["user", "item", "rating", "prediction"] and out.count() > 0
