@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.joins import DEFAULT_BROADCAST_BYTES, fits_rows
+from lodestar.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, fits_rows
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -33,15 +33,21 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, count_col: str,
     ``max_hot_keys`` of them, so they are joined by broadcast with a proven
     bound and their rows are never shuffled.  Every other key holds less than
     1/``max_hot_keys`` of the rows, so the shuffle join of the rest has no
-    partition dominated by one key.  If the hot rows of ``small`` are too large
+    partition dominated by one key.  As many keys as keep the bounds of a
+    broadcast (rows and bytes) count as hot, all of them if they can, so that
+    few rows are shuffled.  If the hot rows of ``small`` are too large
     to broadcast (very long keys), their keys are salted instead.  No row is
     dropped or sampled.
     """
     if total_rows is None:
         total_rows = small.agg(F.sum(count_col)).first()[0] or 0
-    is_hot = F.col(count_col) * F.lit(max_hot_keys) >= F.lit(total_rows)
-    hot, cold = small.filter(is_hot), small.filter(~is_hot)
-    if fits_rows(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
+    if fits_rows(small, DEFAULT_BROADCAST_ROWS, DEFAULT_BROADCAST_BYTES):
+        return big.join(F.broadcast(small), key)
+    share = lambda keys: F.col(count_col) * F.lit(keys) >= F.lit(total_rows)  # noqa: E731  true for so many keys at most
+    wide = max(max_hot_keys, DEFAULT_BROADCAST_ROWS)
+    most = wide if fits_rows(small.filter(share(wide)), wide, DEFAULT_BROADCAST_BYTES) else max_hot_keys
+    hot, cold = small.filter(share(most)), small.filter(~share(most))
+    if most == wide or fits_rows(hot, max_hot_keys, DEFAULT_BROADCAST_BYTES):
         hot_part = big.join(F.broadcast(hot), key)
         cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti")
     else:

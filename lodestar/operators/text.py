@@ -54,9 +54,27 @@ def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
 def term_frequency(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, token, tf): occurrences of each token in each document (M6, exact form).
 
-    Tokens are counted in the task that reads the text; only counts are shuffled."""
-    exploded = docs.select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
-    return exploded.groupBy(doc_id, *extra, "token").agg(F.count(F.lit(1)).alias("tf"))
+    A document that is one row is counted inside that row and nothing of it is
+    shuffled; only rows that share their id are counted by grouping."""
+    ids = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(F.col(doc_id).alias("_id"))
+    ids = materialize(ids, "shared-ids")
+    if ids.isEmpty():
+        return _counted_in_rows(docs, doc_id, text, extra)
+    ids = bounded_broadcast(ids)
+    same = F.col(doc_id).eqNullSafe(F.col("_id"))
+    exploded = docs.join(ids, same, "left_semi").select(doc_id, *extra, F.explode(tokens(text)).alias("token"))
+    grouped = exploded.groupBy(doc_id, *extra, "token").agg(F.count(F.lit(1)).alias("tf"))
+    return _counted_in_rows(docs.join(ids, same, "left_anti"), doc_id, text, extra).unionByName(grouped)
+
+
+def _counted_in_rows(docs: DataFrame, doc_id: str, text: str, extra: tuple[str, ...]) -> DataFrame:
+    """(doc_id, [extra], token, tf) per row: its tokens sorted, the lengths of the runs of equal ones."""
+    words = docs.select(doc_id, *extra, F.sort_array(tokens(text)).alias("_words"))
+    begins = F.filter(F.transform("_words", lambda w, i: F.when((i == 0) | (w != F.get("_words", i - 1)), i)), lambda i: i.isNotNull())
+    begins = words.select("*", begins.alias("_begins"))
+    runs = F.transform("_begins", lambda i, k: F.struct(
+        F.get("_words", i).alias("token"), (F.coalesce(F.get("_begins", k + 1), F.size("_words")) - i).cast("long").alias("tf")))
+    return begins.select(doc_id, *extra, F.explode(runs).alias("_run")).select(doc_id, *extra, "_run.token", "_run.tf")
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:

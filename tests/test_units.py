@@ -298,6 +298,34 @@ def test_split_hot_join_complete(spark):
     assert out.filter("token = 'hot'").count() == 300
 
 
+def test_split_hot_join_with_both_paths(spark, monkeypatch):
+    """Rare keys beyond the broadcast are joined by shuffle, frequent ones are not; a small table is broadcast whole."""
+    from lodestar.operators import partitioning
+
+    big = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(50)], "token string, v int")
+    small = big.groupBy("token").count().withColumnRenamed("count", "df").withColumn("w", F.lit(1))
+    whole = partitioning.split_hot_join(big, small, "token", "df", max_hot_keys=10)
+    assert "Union" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(partitioning, "DEFAULT_BROADCAST_ROWS", 10)
+    split = partitioning.split_hot_join(big, small, "token", "df", max_hot_keys=10)
+    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda df: sorted(tuple(r) for r in df.select("token", "v", "df", "w").collect())
+    assert key(split) == key(whole) and len(key(whole)) == 350
+
+
+def test_term_frequency_shuffles_no_token(spark):
+    """Words of a document are counted in its row; rows of one id, null ids and empty texts as by grouping."""
+    plain = [(1, "b a  B\ta"), (2, ""), (3, None), (4, "  x "), (None, "n n")]
+    df = spark.createDataFrame(plain, "doc_id long, text string")
+    got = text.term_frequency(df, "doc_id", "text")
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = lambda t: sorted(((r.doc_id, r.token, r.tf) for r in t.collect()), key=str)
+    assert rows(got) == sorted([(1, "a", 2), (1, "b", 2), (4, "x", 1), (None, "n", 2)], key=str)
+    again = text.term_frequency(spark.createDataFrame([*plain, (1, "a c"), (None, "n m")], "doc_id long, text string"), "doc_id", "text")
+    assert rows(again) == sorted([(1, "a", 3), (1, "b", 2), (1, "c", 1), (4, "x", 1), (None, "n", 3), (None, "m", 1)], key=str)
+    assert again.schema["tf"].dataType.typeName() == got.schema["tf"].dataType.typeName() == "long"
+
+
 def test_first_row_o3(spark):
     from lodestar.operators.ordering import preview
 
